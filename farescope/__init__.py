@@ -18,6 +18,7 @@ from farescope.operators.spatial import (
     add_named_area,
     geo_to_zone,
     geo_unmatched,
+    index_zones,
     zone_cells,
     zone_of_point,
 )
@@ -39,6 +40,7 @@ __all__ = [
     "geo_to_zone",
     "geo_unmatched",
     "holiday_calendar",
+    "index_zones",
     "ingest_new_files",
     "list_trip_files",
     "load_geometry",

@@ -14,7 +14,8 @@ from farescope import schemas
 from farescope.operators.clean import clean_trips
 from farescope.operators.files import file_name
 from farescope.operators.holidays import flag_holidays, holiday_calendar
-from farescope.operators.spatial import zone_cells
+from farescope.operators.spatial import point_index, zone_cells
+from farescope.session import evaluate_once
 from farescope.sources.geometry import load_geometry
 
 AS_OF_YEAR = 2021
@@ -67,7 +68,9 @@ def raw_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
         "total_amount": distance * (F.lit(2) + part % 7) + F.lit(1.5),
         **ends,
     }
-    return table(spark, sf_dir, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
+    return evaluate_once(
+        table(spark, sf_dir, "lineitem"), *[c.alias(n) for n, c in columns.items()]
+    )
 
 
 # One header dialect per variant, in published spelling with stray characters.
@@ -99,7 +102,8 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
     """Clean, flagged trips."""
-    return flag_holidays(clean_trips(raw_trips(spark, sf_dir, geo), AS_OF_YEAR), calendar(spark))
+    cleaned = clean_trips(raw_trips(spark, sf_dir, geo), AS_OF_YEAR)
+    return flag_holidays(cleaned, calendar(spark), small=True)
 
 
 def _number(thousandths: Column) -> Column:
@@ -133,10 +137,14 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_geometry(text, "geom")
 
 
-def zone_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_cells(zones(spark, sf_dir), CELL)
 
 
+def zone_index(spark: SparkSession, sf_dir: str, boundary: str = "exclude") -> DataFrame:
+    return point_index(cells(spark, sf_dir), CELL, boundary)
+
+
 def _tract_corner() -> tuple[Column, Column]:
     k = F.col("s_suppkey")
     return (k * 37) % 43 * 100 + 13, (k * 53) % 41 * 100 + 17

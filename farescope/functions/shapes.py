@@ -1,135 +1,125 @@
-"""Planar geometry as Column expressions over edge structs (x1, y1, x2, y2).
+"""Planar geometry as SQL expressions over edge structs (x1, y1, x2, y2).
 
-A polygon is the array of the edges of all its rings, holes and parts alike; inside
-is decided by parity. A line is the array of its segments.
+A polygon is the array of the edges of all its rings, holes and parts alike; inside is
+decided by parity. A line is the array of its segments. Functions take and return SQL
+text, to be given to ``F.expr`` or ``selectExpr``: one long expression is then parsed
+once instead of being assembled call by call.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+BOUNDARIES = ("exclude", "include")
 
 _ON_EDGE = 1 << 20  # added per edge the point lies on; far above any crossing count
 
 
-def turn(ax, ay, bx, by, px, py) -> Column:
-    """Twice the signed area of (a, b, p): zero when p is on the line through a and b."""
-    return (bx - ax) * (py - ay) - (px - ax) * (by - ay)
+def side(e: str, x: str, y: str) -> str:
+    """Twice the signed area of the edge and (x, y): zero on the edge's line, else which side."""
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({x} - {e}.x1) * ({e}.y2 - {e}.y1))"
 
 
-def _on_or_crossing(x: Column, y: Column, e: Column) -> Column:
-    side = turn(e.x1, e.y1, e.x2, e.y2, x, y)
-    on_edge = (
-        (side == 0)
-        & (x >= F.least(e.x1, e.x2))
-        & (x <= F.greatest(e.x1, e.x2))
-        & (y >= F.least(e.y1, e.y2))
-        & (y <= F.greatest(e.y1, e.y2))
+def in_box(e: str, x: str, y: str) -> str:
+    """Whether (x, y) is in the edge's bounding box, borders included."""
+    return (
+        f"({x} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2)"
+        f" AND {y} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2))"
     )
-    # A ray to the right crosses an edge that spans y and has the point on its left.
-    crosses = ((e.y1 > y) != (e.y2 > y)) & ((side > 0) == (e.y2 > e.y1))
-    return F.when(on_edge, F.lit(_ON_EDGE)).when(crosses, F.lit(1)).otherwise(F.lit(0))
 
 
-def contains_point(edges: Column, x: Column, y: Column, boundary: str = "exclude") -> Column:
-    """Whether (x, y) is inside; points on an edge count only with ``boundary="include"``."""
-    score = F.aggregate(edges, F.lit(0), lambda acc, e: acc + _on_or_crossing(x, y, e))
-    odd = score % 2 == 1
-    if boundary == "include":
-        return (score >= _ON_EDGE) | odd
-    if boundary == "exclude":
-        return (score < _ON_EDGE) & odd
-    raise ValueError(f"boundary must be 'include' or 'exclude', not {boundary!r}")
+def left_of(e: str, x: str, y: str) -> str:
+    """Whether (x, y) is strictly to the left of an edge that spans y."""
+    s = side(e, x, y)
+    return f"({s} <> 0 AND ({s} > 0) = ({e}.y2 > {e}.y1))"
 
 
-def _within(px, py, e) -> Column:
-    return (
-        (px >= F.least(e.x1, e.x2))
-        & (px <= F.greatest(e.x1, e.x2))
-        & (py >= F.least(e.y1, e.y2))
-        & (py <= F.greatest(e.y1, e.y2))
+def right_of(e: str, x: str, y: str) -> str:
+    """Whether (x, y) is strictly to the right of an edge that spans y."""
+    s = side(e, x, y)
+    return f"({s} <> 0 AND ({s} > 0) <> ({e}.y2 > {e}.y1))"
+
+
+def contains_point(edges: str, x: str, y: str, boundary: str = "exclude") -> str:
+    """Whether (x, y) is inside; points on an edge count only with ``boundary="include"``.
+
+    Counts the edges that a ray to the right crosses; an edge crosses when it spans y
+    half-open and has the point on its left.
+    """
+    if boundary not in BOUNDARIES:
+        raise ValueError(f"boundary must be one of {BOUNDARIES}, not {boundary!r}")
+    s = side("e", x, y)
+    score = (
+        f"aggregate({edges}, 0, (acc, e) -> acc + CASE"
+        f" WHEN {s} = 0 AND {in_box('e', x, y)} THEN {_ON_EDGE}"
+        f" WHEN (e.y1 > {y}) <> (e.y2 > {y}) AND ({s} > 0) = (e.y2 > e.y1) THEN 1"
+        " ELSE 0 END)"
     )
+    if boundary == "include":
+        return f"({score} >= {_ON_EDGE} OR {score} % 2 = 1)"
+    return f"({score} < {_ON_EDGE} AND {score} % 2 = 1)"
 
 
-def edges_touch(a: Column, b: Column) -> Column:
+def edges_touch(a: str, b: str) -> str:
     """Whether two closed segments share a point."""
-    b1 = turn(a.x1, a.y1, a.x2, a.y2, b.x1, b.y1)
-    b2 = turn(a.x1, a.y1, a.x2, a.y2, b.x2, b.y2)
-    a1 = turn(b.x1, b.y1, b.x2, b.y2, a.x1, a.y1)
-    a2 = turn(b.x1, b.y1, b.x2, b.y2, a.x2, a.y2)
-    proper = (F.signum(b1) * F.signum(b2) < 0) & (F.signum(a1) * F.signum(a2) < 0)
+    b1, b2 = side(a, f"{b}.x1", f"{b}.y1"), side(a, f"{b}.x2", f"{b}.y2")
+    a1, a2 = side(b, f"{a}.x1", f"{a}.y1"), side(b, f"{a}.x2", f"{a}.y2")
     return (
-        proper
-        | ((b1 == 0) & _within(b.x1, b.y1, a))
-        | ((b2 == 0) & _within(b.x2, b.y2, a))
-        | ((a1 == 0) & _within(a.x1, a.y1, b))
-        | ((a2 == 0) & _within(a.x2, a.y2, b))
+        f"((signum({b1}) * signum({b2}) < 0 AND signum({a1}) * signum({a2}) < 0)"
+        f" OR ({b1} = 0 AND {in_box(a, f'{b}.x1', f'{b}.y1')})"
+        f" OR ({b2} = 0 AND {in_box(a, f'{b}.x2', f'{b}.y2')})"
+        f" OR ({a1} = 0 AND {in_box(b, f'{a}.x1', f'{a}.y1')})"
+        f" OR ({a2} = 0 AND {in_box(b, f'{a}.x2', f'{a}.y2')}))"
     )
 
 
-def edge_meets_box(e: Column, x0, y0, x1, y1) -> Column:
+def edge_meets_box(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
     """Whether a segment meets a closed axis-parallel box."""
-    overlap = (
-        (F.least(e.x1, e.x2) <= x1)
-        & (F.greatest(e.x1, e.x2) >= x0)
-        & (F.least(e.y1, e.y2) <= y1)
-        & (F.greatest(e.y1, e.y2) >= y0)
+    corners = ", ".join(side(e, x, y) for x in (x0, x1) for y in (y0, y1))
+    return (
+        f"(least({e}.x1, {e}.x2) <= {x1} AND greatest({e}.x1, {e}.x2) >= {x0}"
+        f" AND least({e}.y1, {e}.y2) <= {y1} AND greatest({e}.y1, {e}.y2) >= {y0}"
+        f" AND least({corners}) <= 0 AND greatest({corners}) >= 0)"
     )
-    sides = [turn(e.x1, e.y1, e.x2, e.y2, x, y) for x in (x0, x1) for y in (y0, y1)]
-    return overlap & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
 
-def bounds(edges: Column) -> dict[str, Column]:
-    """Bounding box of an edge array."""
-    xs = F.concat(F.transform(edges, lambda e: e.x1), F.transform(edges, lambda e: e.x2))
-    ys = F.concat(F.transform(edges, lambda e: e.y1), F.transform(edges, lambda e: e.y2))
-    return {
-        "xmin": F.array_min(xs),
-        "xmax": F.array_max(xs),
-        "ymin": F.array_min(ys),
-        "ymax": F.array_max(ys),
-    }
+def bounds(edges: str, prefix: str = "") -> list[str]:
+    """Bounding box of an edge array, as xmin, xmax, ymin, ymax."""
+    return [
+        f"array_{low}(transform({edges}, e -> {pick}(e.{a}1, e.{a}2))) AS {prefix}{a}{low}"
+        for a in ("x", "y")
+        for low, pick in (("min", "least"), ("max", "greatest"))
+    ]
 
 
-def signed_area(edges: Column) -> Column:
+def signed_area(edges: str) -> str:
     """Half the sum of cross products over the edges."""
-    return (
-        F.aggregate(
-            edges, F.lit(0.0).cast("double"), lambda acc, e: acc + (e.x1 * e.y2 - e.x2 * e.y1)
-        )
-        / 2.0
-    )
+    return f"(aggregate({edges}, 0D, (acc, e) -> acc + (e.x1 * e.y2 - e.x2 * e.y1)) / 2D)"
+
+
+def x_at(e: str, y: str) -> str:
+    """Where an edge that is not horizontal passes the height y."""
+    return f"({e}.x1 + ({e}.x2 - {e}.x1) * (({y} - {e}.y1) / nullif({e}.y2 - {e}.y1, 0D)))"
+
 
+def y_at(e: str, x: str) -> str:
+    """Height of an edge that is not vertical at x."""
+    return f"({e}.y1 + ({e}.y2 - {e}.y1) * (({x} - {e}.x1) / nullif({e}.x2 - {e}.x1, 0D)))"
 
-def ring_edges(ring: Column) -> Column:
+
+def ring_edges(ring: str) -> str:
     """Edges of a vertex list [[x, y], ...] in order; a closed ring repeats its first vertex."""
-    pairs = F.arrays_zip(
-        F.slice(ring, F.lit(1), F.size(ring) - 1).alias("p"),
-        F.slice(ring, F.lit(2), F.size(ring) - 1).alias("q"),
-    )
-    return F.transform(
-        pairs,
-        lambda e: F.struct(
-            e["p"][0].alias("x1"), e["p"][1].alias("y1"), e["q"][0].alias("x2"), e["q"][1].alias("y2")
-        ),
+    return (
+        f"transform(sequence(1, size({ring}) - 1), i -> named_struct("
+        f"'x1', {ring}[i - 1][0], 'y1', {ring}[i - 1][1], 'x2', {ring}[i][0], 'y2', {ring}[i][1]))"
     )
 
 
-def strip_area(a: tuple, b: tuple, left: Column, right: Column) -> Column:
-    """Integral over [left, right] of min(f, g), f and g the lines through edges a and b.
+def area_below_both(f0: str, f1: str, g0: str, g1: str, width: str) -> str:
+    """Integral over ``width`` of the lower of two lines, given by their end heights.
 
-    Each edge is a tuple (x1, y1, x2, y2) of columns with x1 <> x2, the range inside both.
-    The signed sum of this over the edge pairs of two polygons is their common area.
+    The chord of the lower ends, plus the triangle above it when the lines cross. Summed
+    with signs over the edge pairs of two polygons it gives their common area.
     """
-
-    def at(e, x):
-        x1, y1, x2, y2 = e
-        return y1 + (y2 - y1) * ((x - x1) / (x2 - x1))
-
-    f0, f1, g0, g1 = at(a, left), at(a, right), at(b, left), at(b, right)
-    width = right - left
-    d0, d1 = f0 - g0, f1 - g1
-    chord = (F.least(f0, g0) + F.least(f1, g1)) / 2.0 * width
-    # Lines that cross inside the range leave a triangle above the chord of the lower ones.
-    triangle = F.abs(d0 * d1) / F.nullif(F.abs(d0) + F.abs(d1), F.lit(0.0)) / 2.0 * width
-    return F.when(d0 * d1 < 0, chord + triangle).otherwise(chord)
+    d0, d1 = f"({f0} - {g0})", f"({f1} - {g1})"
+    chord = f"(least({f0}, {g0}) + least({f1}, {g1})) / 2D * {width}"
+    triangle = f"abs({d0} * {d1}) / nullif(abs({d0}) + abs({d1}), 0D) / 2D * {width}"
+    return f"(CASE WHEN {d0} * {d1} < 0 THEN {chord} + {triangle} ELSE {chord} END)"

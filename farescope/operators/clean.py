@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from farescope import schemas
 from farescope.functions import measures as M
+from farescope.session import evaluate_once
 
 _RAW_TYPES = {
     "pickup_datetime": "timestamp_ntz",
@@ -48,7 +49,9 @@ def typed(df: DataFrame) -> DataFrame:
         if wanted == "int" and not isinstance(kinds[name.lower()], T.IntegralType):
             column = column.try_cast("double")  # text such as "1.0" is still a count
         columns.append(column.try_cast(wanted).alias(name))
-    return df.select(*columns, *[F.col(c) for c in df.columns if c in _CARRIED])
+    columns += [F.col(c) for c in df.columns if c in _CARRIED]
+    parsed = any(isinstance(k, T.StringType) for n, k in kinds.items() if n not in _CARRIED)
+    return evaluate_once(df, *columns) if parsed else df.select(*columns)
 
 
 def _with_quotients(df: DataFrame) -> DataFrame:
@@ -73,7 +76,9 @@ def cleaning_rules(geo: bool, as_of_year: int | None = None) -> dict[str, Column
     quotient (see ``functions.measures``).
     """
     current = F.year(F.current_date()) if as_of_year is None else F.lit(as_of_year)
-    year = F.year("pickup_datetime")
+    first = F.lit("2008-01-01").cast("timestamp_ntz")
+    end = F.make_date(current + 1, F.lit(1), F.lit(1)).cast("timestamp_ntz")
+    pickup = F.col("pickup_datetime")
     rules = {
         "no_datetime": F.col("pickup_datetime").isNotNull() & F.col("dropoff_datetime").isNotNull(),
         "no_passenger": F.col("passenger_count") > 0,
@@ -82,7 +87,7 @@ def cleaning_rules(geo: bool, as_of_year: int | None = None) -> dict[str, Column
         "below_minimum_fare": F.col("total_amount") >= 2.5,
         "rate_too_high": _raw_rate() < F.lit(49.995),  # rounded rate < 50
         "too_brief": F.col("seconds") >= F.lit(378),  # rounded hours > 0.1
-        _ODD_DATE: (year > 2007) & (year < current + 1),
+        _ODD_DATE: (pickup >= first) & (pickup < end),
         "odd_speed": (_raw_speed() >= F.lit(5.005)) & (_raw_speed() < F.lit(99.995)),
     }
     if geo:

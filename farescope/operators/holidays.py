@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farescope import schemas
@@ -31,35 +31,26 @@ NTH_WEEKDAYS = (
 FIRST_YEAR = 2008
 
 
-def _fixed(year: Column, name, month, day, first_year, observed) -> list[Column]:
-    date = F.make_date(year, F.lit(month), F.lit(day))
-    date = F.when(year >= first_year, date)
-    entries = [F.struct(date.alias("holiday_date"), F.lit(name).alias("name"))]
-    if observed:
-        shifted = (
-            F.when(F.dayofweek(date) == 7, F.date_sub(date, 1))
-            .when(F.dayofweek(date) == 1, F.date_add(date, 1))
-        )
-        entries.append(
-            F.struct(shifted.alias("holiday_date"), F.lit(f"{name} (observed)").alias("name"))
-        )
-    return entries
+def _entry(date: str, name: str) -> str:
+    escaped = name.replace("'", "\\'")
+    return f"named_struct('holiday_date', {date}, 'name', '{escaped}')"
 
 
-def _nth(year: Column, name, month, weekday, nth) -> Column:
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    if nth:
-        date = F.date_add(F.next_day(F.date_sub(first, 1), weekday), 7 * (nth - 1))
-    else:
-        date = F.next_day(F.date_sub(F.last_day(first), 7), weekday)
-    return F.struct(date.alias("holiday_date"), F.lit(name).alias("name"))
+def _fixed(name: str, month: int, day: int, since: int, copies: bool) -> list[str]:
+    """A fixed date and, on weekends, its copy on the Friday before or the Monday after."""
+    date = f"if(y >= {since}, make_date(y, {month}, {day}), NULL)"
+    entries = [_entry(date, name)]
+    if copies:
+        shifted = f"CASE dayofweek({date}) WHEN 7 THEN date_sub({date}, 1) WHEN 1 THEN date_add({date}, 1) END"
+        entries.append(_entry(shifted, f"{name} (observed)"))
+    return entries
 
 
-def _election(year: Column) -> Column:
-    """Tuesday after the first Monday of November: even years, and every year from 2015."""
-    monday = F.next_day(F.date_sub(F.make_date(year, F.lit(11), F.lit(1)), 1), "Mon")
-    date = F.when((year % 2 == 0) | (year >= 2015), F.date_add(monday, 1))
-    return F.struct(date.alias("holiday_date"), F.lit("Election Day").alias("name"))
+def _nth(month: int, weekday: str, nth: int) -> str:
+    first = f"make_date(y, {month}, 1)"
+    if nth:
+        return f"date_add(next_day(date_sub({first}, 1), '{weekday}'), {7 * (nth - 1)})"
+    return f"next_day(date_sub(last_day({first}), 7), '{weekday}')"
 
 
 def holiday_calendar(
@@ -69,34 +60,36 @@ def holiday_calendar(
     state_days: bool = True,
 ) -> DataFrame:
     """(holiday_date, name), one row per date, from ``first_year`` to ``last_year``."""
-    year = F.col("id").cast("int")
-    entries: list[Column] = []
-    for name, month, day, since, observed, state in FIXED_DATES:
+    entries: list[str] = []
+    for name, month, day, since, copies, state in FIXED_DATES:
         if state_days or not state:
-            entries += _fixed(year, name, month, day, since, observed)
-    entries += [_nth(year, *rule) for rule in NTH_WEEKDAYS]
+            entries += _fixed(name, month, day, since, copies)
+    entries += [_entry(_nth(month, day, nth), name) for name, month, day, nth in NTH_WEEKDAYS]
     if state_days:
-        entries.append(_election(year))
+        # Tuesday after the first Monday of November: even years, and every year from 2015.
+        tuesday = f"date_add({_nth(11, 'Mon', 1)}, 1)"
+        entries.append(_entry(f"if(y % 2 = 0 OR y >= 2015, {tuesday}, NULL)", "Election Day"))
     return (
         spark.range(first_year, last_year + 1, numPartitions=1)
-        .select(F.inline(F.array(*entries)))
-        .filter("holiday_date IS NOT NULL")
+        .selectExpr("CAST(id AS INT) AS y")
+        .selectExpr(f"inline(array({', '.join(entries)}))")
+        .where("holiday_date IS NOT NULL")
         .groupBy("holiday_date")
         .agg(F.min("name").alias("name"))
     )
 
 
-def flag_holidays(trips: DataFrame, calendar: DataFrame) -> DataFrame:
+def flag_holidays(trips: DataFrame, calendar: DataFrame, small: bool | None = None) -> DataFrame:
     """Overlay the calendar: holiday trips get month 0, weekend flag -1, holiday flag 1.
 
     ``calendar`` needs a ``holiday_date`` column. It is made unique by date, so the
-    left join never repeats a trip; it has a dozen rows per year and is broadcast
-    once its size has been checked. Other columns, ``sourceid`` included, pass through.
+    left join never repeats a trip, and is broadcast once its size has been checked.
+    ``small=True`` skips the check for a calendar made by ``holiday_calendar``, which
+    has at most some twenty rows per year. ``sourceid`` is kept, or NULL if absent.
     """
     days = calendar.select("holiday_date").filter("holiday_date IS NOT NULL").distinct()
-    joined = trips.join(
-        broadcast_if_small(days), F.col("pickup_date") == F.col("holiday_date"), "left"
-    )
+    days = F.broadcast(days) if small else broadcast_if_small(days)
+    joined = trips.join(days, F.col("pickup_date") == F.col("holiday_date"), "left")
     hit = F.col("holiday_date").isNotNull()
     flagged = joined.withColumns(
         {

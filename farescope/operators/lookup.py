@@ -50,8 +50,9 @@ def lookup_rates(
 ) -> DataFrame:
     """(request_id, series, hour, rate): three full 24-hour curves per request.
 
-    ``rate`` is NULL where no trips were seen. A point on a shared border averages the
-    rates of both zones. ``request_id`` must be unique.
+    ``rate`` is NULL where no trips were seen. With an index made for
+    ``boundary="include"``, a point on a shared border averages the rates of both zones.
+    ``request_id`` must be unique.
     """
     located = join_zones(
         requests.select("request_id", "lat", "lng", "month", "traffic", "covid"),
@@ -60,10 +61,9 @@ def lookup_rates(
         "lat",
         "zone_id",
         cell,
-        "include",
         "left",
         small,
-    )
+    ).dropDuplicates(["request_id", "zone_id"])
     grid = (
         located.withColumn("series", F.explode(F.array(*[F.lit(s) for s in SERIES])))
         .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farescope.functions import shapes as S
 from farescope.operators.spatial import (
     DEFAULT_CELL,
-    _box,
-    _cell_range,
+    cell_box,
     cell_join,
     cell_of,
+    cell_range,
     index_is_small,
 )
 from farescope.session import fits_broadcast
@@ -19,63 +19,54 @@ from farescope.session import fits_broadcast
 
 def polygon_area(shapes: DataFrame, key: str) -> DataFrame:
     """(key, area) from the edges in each row, in the layer's own units."""
-    return shapes.select(key, F.abs(S.signed_area(F.col("edges"))).alias("area"))
+    return shapes.selectExpr(key, f"abs({S.signed_area('edges')}) AS area")
 
 
 def crossing_map(
     lines: DataFrame,
-    index: DataFrame,
+    cells: DataFrame,
     key: str,
     cell: float = DEFAULT_CELL,
     small: bool | None = None,
 ) -> DataFrame:
     """(key, zone_id) for each line that meets a zone, its boundary included.
 
-    Line edges are cut up by the cells they pass. In a cell wholly inside a zone the
-    match is certain; elsewhere the edge must touch one of the zone's edges of that
-    cell, or start inside the zone.
+    ``cells`` comes from ``zone_cells``. Line edges are cut up by the cells they pass.
+    In a cell wholly inside a zone the match is certain; elsewhere the edge must touch
+    one of the zone's edges of that cell, or start inside the zone.
     """
-    small = index_is_small(index) if small is None else small
-    cell = float(cell)
-    x0, y0, x1, y1 = _box(cell)
-    edge = F.struct("x1", "y1", "x2", "y2")
+    small = index_is_small(cells) if small is None else small
     pieces = (
-        lines.select(key, F.inline("edges"))
-        .withColumn("cx", F.explode(_cell_range(F.least("x1", "x2"), F.greatest("x1", "x2"), cell)))
-        .withColumn("cy", F.explode(_cell_range(F.least("y1", "y2"), F.greatest("y1", "y2"), cell)))
-        .withColumn("e", edge)
-        .filter(S.edge_meets_box(F.col("e"), x0, y0, x1, y1))
-        .select(key, "e", F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
-    )
-    starts_here = (F.col("_cx") == cell_of(F.col("e.x1"), cell)) & (
-        F.col("_cy") == cell_of(F.col("e.y1"), cell)
-    )
-    meets = (
-        F.col("whole")
-        | F.exists("edges", lambda z: S.edges_touch(F.col("e"), z))
-        | (starts_here & S.contains_point(F.col("edges"), F.col("e.x1"), F.col("e.y1"), "include"))
+        lines.select(F.col(key).alias("_line"), F.inline("edges"))
+        .selectExpr(
+            "_line",
+            "struct(x1, y1, x2, y2) AS e",
+            f"{cell_range('least(x1, x2)', 'greatest(x1, x2)', cell)} AS cx",
+        )
+        .selectExpr("*", f"{cell_range('least(e.y1, e.y2)', 'greatest(e.y1, e.y2)', cell)} AS cy")
+        .selectExpr("*", *cell_box(cell))
+        .where(S.edge_meets_box("e", "x0", "y0", "x1", "y1"))
+        .selectExpr("_line", "e", "cx AS _cx", "cy AS _cy")
     )
-    matched = cell_join(
-        pieces, index, {"cx": F.col("_cx"), "cy": F.col("_cy")}, meets, "inner", small
+    starts_here = f"_cx = {cell_of('e.x1', cell)} AND _cy = {cell_of('e.y1', cell)}"
+    on = (
+        "cx = _cx AND cy = _cy AND (whole"
+        f" OR exists(edges, z -> {S.edges_touch('e', 'z')})"
+        f" OR ({starts_here} AND {S.contains_point('edges', '_x', '_y', 'include')}))"
     )
-    return matched.select(key, "zone_id").distinct()
-
-
-def _boxed(shapes: DataFrame, key: str, prefix: str) -> DataFrame:
-    box = S.bounds(F.col("edges"))
-    return shapes.filter(F.size("edges") > 0).select(
-        F.col(key).alias(f"{prefix}_id"),
-        F.col("edges").alias(f"{prefix}_edges"),
-        *[c.alias(f"{prefix}_{k}") for k, c in box.items()],
-    )
-
-
-def _celled(boxed: DataFrame, prefix: str, cell: float) -> DataFrame:
-    def span(axis: str) -> Column:
-        return _cell_range(F.col(f"{prefix}_{axis}min"), F.col(f"{prefix}_{axis}max"), cell)
-
-    return boxed.withColumn(f"{prefix}_cx", F.explode(span("x"))).withColumn(
-        f"{prefix}_cy", F.explode(span("y"))
+    # The start point is named apart: inside the edge fold, ``e`` is the zone's edge.
+    pieces = pieces.selectExpr("*", "e.x1 AS _x", "e.y1 AS _y")
+    matched = cell_join(pieces, cells, on, "inner", small)
+    return matched.select(F.col("_line").alias(key), "zone_id").distinct()
+
+
+def _boxed_cells(shapes: DataFrame, key: str, p: str, cell: float) -> DataFrame:
+    """Shapes repeated for each cell of their bounding box, columns prefixed by ``p``."""
+    return (
+        shapes.where("size(edges) > 0")
+        .selectExpr(f"{key} AS {p}id", f"edges AS {p}edges", *S.bounds("edges", p))
+        .selectExpr("*", f"{cell_range(f'{p}xmin', f'{p}xmax', cell)} AS {p}cx")
+        .selectExpr("*", f"{cell_range(f'{p}ymin', f'{p}ymax', cell)} AS {p}cy")
     )
 
 
@@ -90,82 +81,55 @@ def overlap_map(
 
     Pairs whose bounding boxes meet are found through shared cells, each pair once: in
     the cell of the low corner of the common box. Edges of a pair are then matched
-    within narrow strips of x, and the common area is a signed sum over the matches,
-    combined before the only shuffle that follows. ``min_share=None`` keeps every
-    positive share.
+    within strips of x one cell wide, and the common area is a signed sum over the
+    matches, combined before the only shuffle that follows. ``min_share=None`` keeps
+    every positive share.
     """
-    cell = float(cell)
-    a = _celled(_boxed(areas, key, "a"), "a", cell)
-    z = _celled(_boxed(zones, "zone_id", "z"), "z", cell)
-    low_x = F.greatest("a_xmin", "z_xmin")
-    low_y = F.greatest("a_ymin", "z_ymin")
-    high_x = F.least("a_xmax", "z_xmax")
-    meet = (
-        (low_x < high_x)
-        & (low_y < F.least("a_ymax", "z_ymax"))
-        & (F.col("a_cx") == cell_of(low_x, cell))
-        & (F.col("a_cy") == cell_of(low_y, cell))
+    a, z = _boxed_cells(areas, key, "a_", cell), _boxed_cells(zones, "zone_id", "z_", cell)
+    low_x, low_y = "greatest(a_xmin, z_xmin)", "greatest(a_ymin, z_ymin)"
+    high_x = "least(a_xmax, z_xmax)"
+    on = (
+        f"a_cx = z_cx AND a_cy = z_cy AND {low_x} < {high_x} AND {low_y} < least(a_ymax, z_ymax)"
+        f" AND a_cx = {cell_of(low_x, cell)} AND a_cy = {cell_of(low_y, cell)}"
     )
-    small = fits_broadcast(z, elements=F.size("z_edges"))
-    pairs = cell_join(a, z, {"z_cx": F.col("a_cx"), "z_cy": F.col("a_cy")}, meet, "inner", small)
-
-    left = F.greatest(F.col("lo"), F.col("strip") * F.lit(cell))
-    right = F.least(F.col("hi"), (F.col("strip") + 1) * F.lit(cell))
+    pairs = cell_join(a, z, on, "inner", fits_broadcast(z, elements=F.size("z_edges")))
+    width = f"{float(cell)!r}D"
 
-    def within_strip(edges: str) -> Column:
-        return F.filter(
-            edges,
-            lambda e: (e.x1 != e.x2)
-            & (F.least(e.x1, e.x2) < F.col("hi"))
-            & (F.greatest(e.x1, e.x2) > F.col("lo")),
+    def in_strip(edges: str) -> str:
+        return (
+            f"filter({edges}, e -> e.x1 <> e.x2 AND least(e.x1, e.x2) < hi"
+            " AND greatest(e.x1, e.x2) > lo)"
         )
 
-    def unpack(prefix: str) -> list[Column]:
-        return [F.col(f"{prefix}.{n}").alias(f"{prefix}_{n}") for n in ("x1", "y1", "x2", "y2")]
-
-    strips = (
-        pairs.withColumn("area", F.abs(S.signed_area(F.col("a_edges"))))
-        .select(
-            "a_id",
-            "z_id",
-            "area",
-            "a_edges",
-            "z_edges",
-            low_x.alias("lo"),
-            high_x.alias("hi"),
-            F.explode(_cell_range(low_x, high_x, cell)).alias("strip"),
+    head = ["a_id", "z_id", "area"]
+    matches = (
+        pairs.selectExpr(
+            "a_id", "z_id", f"abs({S.signed_area('a_edges')}) AS area", "a_edges", "z_edges",
+            f"{low_x} AS low", f"{high_x} AS high", f"{cell_range(low_x, high_x, cell)} AS strip",
         )
-        .withColumns({"lo": left, "hi": right})
-        .filter("lo < hi")
-        .select(
-            "a_id",
-            "z_id",
-            "area",
-            "lo",
-            "hi",
-            F.explode(within_strip("a_edges")).alias("p"),
-            within_strip("z_edges").alias("z_edges"),
+        .selectExpr(
+            *head, "a_edges", "z_edges",
+            f"greatest(low, strip * {width}) AS lo", f"least(high, (strip + 1) * {width}) AS hi",
         )
-        .select("a_id", "z_id", "area", "lo", "hi", *unpack("p"), F.explode("z_edges").alias("q"))
-        .select("a_id", "z_id", "area", "lo", "hi", *[f"p_{n}" for n in ("x1", "y1", "x2", "y2")], *unpack("q"))
-    )
-    p = tuple(F.col(f"p_{n}") for n in ("x1", "y1", "x2", "y2"))
-    q = tuple(F.col(f"q_{n}") for n in ("x1", "y1", "x2", "y2"))
-    from_x = F.greatest("lo", F.least(p[0], p[2]), F.least(q[0], q[2]))
-    to_x = F.least("hi", F.greatest(p[0], p[2]), F.greatest(q[0], q[2]))
-    sign = F.signum(p[0] - p[2]) * F.signum(q[0] - q[2])
-    shares = (
-        strips.filter(from_x < to_x)
-        .groupBy("a_id", "z_id")
-        .agg(
-            F.abs(F.sum(sign * S.strip_area(p, q, from_x, to_x))).alias("common"),
-            F.first("area").alias("area"),
+        .where("lo < hi")
+        .selectExpr(*head, "lo", "hi", f"explode({in_strip('a_edges')}) AS p", f"{in_strip('z_edges')} AS qs")
+        .selectExpr(*head, "lo", "hi", "p", "explode(qs) AS q")
+        .selectExpr(
+            *head, "p", "q",
+            "greatest(lo, least(p.x1, p.x2), least(q.x1, q.x2)) AS l",
+            "least(hi, greatest(p.x1, p.x2), greatest(q.x1, q.x2)) AS r",
         )
-        .select(
-            F.col("a_id").alias(key),
-            F.col("z_id").alias("zone_id"),
-            F.try_divide("common", "area").alias("overlap"),
+        .where("l < r")
+        .selectExpr(
+            *head, "r - l AS width", "signum(p.x1 - p.x2) * signum(q.x1 - q.x2) AS sign",
+            f"{S.y_at('p', 'l')} AS f0", f"{S.y_at('p', 'r')} AS f1",
+            f"{S.y_at('q', 'l')} AS g0", f"{S.y_at('q', 'r')} AS g1",
         )
     )
-    floor = 1e-12 if min_share is None else min_share
-    return shares.filter(F.col("overlap") > floor)
+    common = F.expr(f"abs(sum(sign * {S.area_below_both('f0', 'f1', 'g0', 'g1', 'width')}))")
+    shares = (
+        matches.groupBy("a_id", "z_id")
+        .agg(common.alias("common"), F.first("area").alias("area"))
+        .selectExpr(f"a_id AS {key}", "z_id AS zone_id", "try_divide(common, area) AS overlap")
+    )
+    return shares.where(F.col("overlap") > (1e-12 if min_share is None else min_share))

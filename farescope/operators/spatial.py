@@ -1,14 +1,19 @@
 """Points into zones: a grid of cells makes the spatial join an equi-join.
 
 ``zone_cells`` cuts every zone into grid cells. A cell lying wholly inside its zone
-needs no test; a cell on the zone's border carries the few edges that can matter
-there. A point has one cell, so the join key is exact and nothing is compared with
-every zone. The point side is never shuffled while the index fits a broadcast.
+needs no test; a cell on the zone's border keeps the few edges that matter there.
+``point_index`` turns border cells into slabs between vertex heights, each with one
+edge on its left and one on its right, so that deciding a point takes two side tests
+in generated code. Only a point at the very height of a vertex is tested against the
+cell's edges one by one.
+
+A point has one cell, so nothing is compared with every zone, and the point side is
+never shuffled while the index fits a broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farescope import schemas
@@ -19,19 +24,29 @@ DEFAULT_CELL = 0.005  # degrees; about a quarter of a city zone
 SALT = 16
 _MARGIN = 1e-9  # of a cell: keeps rounding at cell borders on the safe side
 
+_WHOLE, _SLAB, _LEVELS = 0, 1, 2
+_EDGE_TYPE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
-def cell_of(value: Column, cell: float) -> Column:
-    return F.floor(value / F.lit(float(cell))).cast("long")
 
+def cell_of(value: str, cell: float) -> str:
+    """Cell number of a coordinate. Two 32-bit numbers join as one 64-bit hash key."""
+    return f"CAST(floor({value} / {float(cell)!r}D) AS INT)"
 
-def _cell_range(low: Column, high: Column, cell: float) -> Column:
-    return F.sequence(cell_of(low, cell), cell_of(high, cell))
 
+def cell_range(low: str, high: str, cell: float) -> str:
+    return f"explode(sequence({cell_of(low, cell)}, {cell_of(high, cell)}))"
 
-def _box(cell: float) -> tuple[Column, Column, Column, Column]:
+
+def cell_box(cell: float) -> list[str]:
+    """The box of cell (cx, cy), a little enlarged, as x0, y0, x1, y1."""
+    cell = float(cell)
     pad = cell * _MARGIN
-    x0, y0 = F.col("cx") * F.lit(cell), F.col("cy") * F.lit(cell)
-    return x0 - pad, y0 - pad, x0 + (cell + pad), y0 + (cell + pad)
+    return [
+        f"(cx * {cell!r}D - {pad!r}D) AS x0",
+        f"(cy * {cell!r}D - {pad!r}D) AS y0",
+        f"((cx + 1) * {cell!r}D + {pad!r}D) AS x1",
+        f"((cy + 1) * {cell!r}D + {pad!r}D) AS y1",
+    ]
 
 
 def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
@@ -41,73 +56,123 @@ def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
     every edge through the cell. Nothing is grouped: a zone's cells and edges all
     derive from its own row.
     """
-    cell = float(cell)
-    x0, y0, x1, y1 = _box(cell)
-    box = S.bounds(F.col("edges"))
-    cells = (
-        zones.filter(F.size("edges") > 0)
-        .select("zone_id", "edges", *[c.alias(k) for k, c in box.items()])
-        .withColumn("cx", F.explode(_cell_range(F.col("xmin"), F.col("xmax"), cell)))
-        .withColumn(
-            "edges",
-            F.filter("edges", lambda e: F.greatest(e.x1, e.x2) >= F.col("cx") * cell - cell * _MARGIN),
+    border = f"exists(edges, e -> {S.edge_meets_box('e', 'x0', 'y0', 'x1', 'y1')})"
+    centre = S.contains_point("edges", "(x0 + x1) / 2D", "(y0 + y1) / 2D")
+    return (
+        zones.where("size(edges) > 0")
+        .selectExpr("zone_id", "edges", *S.bounds("edges"))
+        .selectExpr("*", f"{cell_range('ymin', 'ymax', cell)} AS cy")
+        .selectExpr("*", f"{cell_range('xmin', 'xmax', cell)} AS cx")
+        .selectExpr("zone_id", "edges", "cx", "cy", *cell_box(cell))
+        .selectExpr(
+            "zone_id", "cx", "cy", "x0", "y0", "x1", "y1",
+            "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0"
+            " AND greatest(e.x1, e.x2) >= x0) AS edges",
         )
-        .withColumn("cy", F.explode(_cell_range(F.col("ymin"), F.col("ymax"), cell)))
-        .withColumn(
-            "edges",
-            F.filter(
-                "edges",
-                lambda e: (F.least(e.y1, e.y2) <= y1) & (F.greatest(e.y1, e.y2) >= y0),
-            ),
+        .selectExpr("*", f"{border} AS border")
+        .selectExpr("*", f"(NOT border AND {centre}) AS whole")
+        .where("border OR whole")
+        .selectExpr(
+            "cx", "cy", "zone_id", "whole", "if(whole, slice(edges, 1, 0), edges) AS edges"
         )
     )
-    border = F.exists("edges", lambda e: S.edge_meets_box(e, x0, y0, x1, y1))
-    centre = S.contains_point(F.col("edges"), (x0 + x1) / 2.0, (y0 + y1) / 2.0)
-    return (
-        cells.withColumn("whole", ~border & centre)
-        .filter(border | F.col("whole"))
-        .select(
-            "cx",
-            "cy",
-            "zone_id",
-            "whole",
-            F.when(F.col("whole"), F.slice("edges", 1, 0)).otherwise(F.col("edges")).alias("edges"),
+
+
+def point_index(cells: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude") -> DataFrame:
+    """Rows that decide points: whole cells, slabs, and one row of vertex heights per border cell.
+
+    (cx, cy, zone_id, kind, low, high, l, r, levels, edges, touching). A slab reaches from
+    ``low`` to ``high`` between edges ``l`` and ``r``, all of it between vertex heights,
+    so its edges neither start, end nor cross in it.
+    """
+    if boundary not in S.BOUNDARIES:
+        raise ValueError(f"boundary must be one of {S.BOUNDARIES}, not {boundary!r}")
+    heights = (
+        "array_sort(array_distinct(filter(flatten(transform(edges, e -> array(e.y1, e.y2))),"
+        " y -> y > y0 AND y < y1)))"
+    )
+    no_edge = f"CAST(NULL AS {_EDGE_TYPE})"
+    head = ["cx", "cy", "zone_id"]
+    border = cells.where("NOT whole").selectExpr(*head, "edges", *cell_box(cell)).selectExpr(
+        "*", f"{heights} AS levels"
+    )
+    whole = cells.where("whole").selectExpr(
+        *head, f"{_WHOLE} AS kind", "0D AS low", "0D AS high", f"{no_edge} AS l", f"{no_edge} AS r",
+        "CAST(NULL AS array<double>) AS levels", f"slice(array({no_edge}), 1, 0) AS edges",
+    )
+    levels = border.selectExpr(
+        *head, f"{_LEVELS} AS kind", "0D AS low", "0D AS high", f"{no_edge} AS l", f"{no_edge} AS r",
+        "levels", "edges",
+    ).where("size(levels) > 0")
+    # Edges that span the slab, by where they pass its middle. Edges left of the cell were
+    # dropped with the cell, so an odd number means that the slab is open on the left.
+    spanning = (
+        "transform(array_sort(transform(filter(edges, e -> least(e.y1, e.y2) <= low"
+        f" AND greatest(e.y1, e.y2) >= high), e -> struct({S.x_at('e', '(low + high) / 2D')} AS at, e AS e))),"
+        " p -> p.e)"
+    )
+    open_left = "named_struct('x1', 2D * x0 - x1, 'y1', low, 'x2', 2D * x0 - x1, 'y2', high)"
+    slabs = (
+        border.selectExpr("*", "concat(array(y0), levels, array(y1)) AS cuts")
+        .selectExpr("*", "explode(sequence(1, size(cuts) - 1)) AS i")
+        .selectExpr(*head, "edges", "x0", "x1", "cuts[i - 1] AS low", "cuts[i] AS high")
+        .selectExpr(*head, "x0", "x1", "low", "high", f"{spanning} AS across")
+        .selectExpr(
+            *head, "x0", "x1", "low", "high",
+            f"if(size(across) % 2 = 1, concat(array({open_left}), across), across) AS across",
+        )
+        .where("size(across) > 0")
+        .selectExpr("*", "explode(sequence(1, size(across) - 1, 2)) AS i")
+        .selectExpr(*head, "x0", "x1", "low", "high", "across[i - 1] AS l", "across[i] AS r")
+        .where(f"least({S.x_at('l', 'low')}, {S.x_at('l', 'high')}) <= x1")
+        .where(f"greatest({S.x_at('r', 'low')}, {S.x_at('r', 'high')}) >= x0")
+        .selectExpr(
+            *head, f"{_SLAB} AS kind", "low", "high", "l", "r",
+            "CAST(NULL AS array<double>) AS levels", f"slice(array({no_edge}), 1, 0) AS edges",
         )
     )
+    rows = whole.unionByName(slabs).unionByName(levels)
+    return rows.selectExpr("*", f"{str(boundary == 'include').lower()} AS touching")
+
+
+def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude") -> DataFrame:
+    """The point index of a zone layer. Write it to a table where it is used more than once."""
+    return point_index(zone_cells(zones, cell), cell, boundary)
 
 
 def index_is_small(index: DataFrame) -> bool:
     return fits_broadcast(index, elements=F.size("edges"))
 
 
+def _decides(p: str, x: str, y: str) -> str:
+    """Whether an index row (columns prefixed by ``p``) holds the point (x, y)."""
+    left, right = f"{p}l", f"{p}r"
+    inside = f"({S.right_of(left, x, y)} AND {S.left_of(right, x, y)})"
+    closed = f"(NOT {S.left_of(left, x, y)} AND NOT {S.right_of(right, x, y)})"
+    edge_by_edge = (
+        f"if({p}touching, {S.contains_point(f'{p}edges', x, y, 'include')},"
+        f" {S.contains_point(f'{p}edges', x, y)})"
+    )
+    return (
+        f"({p}kind = {_WHOLE}"
+        f" OR ({p}kind = {_SLAB} AND {y} > {p}low AND {y} < {p}high AND if({p}touching, {closed}, {inside}))"
+        f" OR ({p}kind = {_LEVELS} AND array_contains({p}levels, {y}) AND {edge_by_edge}))"
+    )
+
+
 def cell_join(
-    left: DataFrame,
-    index: DataFrame,
-    keys: dict[str, Column],
-    condition: Column,
-    how: str,
-    small: bool,
-    salt: int = SALT,
+    left: DataFrame, index: DataFrame, on: str, how: str, small: bool, salt: int = SALT
 ) -> DataFrame:
-    """Join ``left`` to a cell index on its cell, then on ``condition``.
+    """Join ``left`` to a cell index.
 
     A small index is broadcast. A large one is shuffled together with ``left``, spread
     over ``salt`` copies of each cell so that a crowded cell is not one task's work.
     """
-    on = condition
-    for name, key in keys.items():
-        on = (F.col(name) == key) & on
     if small:
-        return left.join(F.broadcast(index), on, how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
-    copies = index.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long")))
-    )
-    return salted.join(copies, (F.col("_salt") == F.col("_copy")) & on, how).drop("_salt", "_copy")
-
-
-def _prefixed(index: DataFrame, prefix: str) -> DataFrame:
-    return index.select(*[F.col(c).alias(f"_{prefix}_{c}") for c in index.columns])
+        return left.join(F.broadcast(index), F.expr(on), how)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
+    copies = index.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS _copy")
+    return salted.join(copies, F.expr(f"_salt = _copy AND {on}"), how).drop("_salt", "_copy")
 
 
 def join_zones(
@@ -117,46 +182,36 @@ def join_zones(
     y: str,
     zone: str,
     cell: float = DEFAULT_CELL,
-    boundary: str = "exclude",
     how: str = "inner",
     small: bool | None = None,
     salt: int = SALT,
 ) -> DataFrame:
     """Add column ``zone`` with the zone holding (x, y): one row per zone that does.
 
-    ``how`` is any of inner, left, left_semi, left_anti (the last two add no column).
+    ``index`` comes from ``index_zones`` with the same cell size, which also settles
+    whether borders belong to a zone. ``how`` is any of inner, left, left_semi,
+    left_anti (the last two add no column).
     """
     small = index_is_small(index) if small is None else small
-    side = _prefixed(index, zone)
-    px, py = F.col(x), F.col(y)
-    cells, names = side, {n: f"_{zone}_{n}" for n in index.columns}
-    test = F.col(names["whole"]) | S.contains_point(F.col(names["edges"]), px, py, boundary)
-    joined = cell_join(
-        points,
-        cells,
-        {names["cx"]: cell_of(px, cell), names["cy"]: cell_of(py, cell)},
-        test,
-        how,
-        small,
-        salt,
+    p = f"_{zone}_"
+    side = index.toDF(*[p + c for c in index.columns])
+    on = (
+        f"{p}cx = {cell_of(x, cell)} AND {p}cy = {cell_of(y, cell)} AND {_decides(p, x, y)}"
     )
+    joined = cell_join(points, side, on, how, small, salt)
     if how in ("left_semi", "left_anti"):
         return joined
-    return joined.withColumn(zone, F.col(names["zone_id"])).drop(*names.values())
+    return joined.select(*points.columns, F.col(f"{p}zone_id").alias(zone))
 
 
 def geo_to_zone(
-    trips: DataFrame,
-    index: DataFrame,
-    cell: float = DEFAULT_CELL,
-    boundary: str = "exclude",
-    small: bool | None = None,
+    trips: DataFrame, index: DataFrame, cell: float = DEFAULT_CELL, small: bool | None = None
 ) -> DataFrame:
     """Coordinate trips with both ends in a zone, as zone trips."""
     small = index_is_small(index) if small is None else small
     for point, zone in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         trips = join_zones(
-            trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, boundary, "inner", small
+            trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, "inner", small
         )
     wanted = schemas.TRIPS_ZONE if "isholiday" in trips.columns else schemas.CLEAN_ZONE
     carried = [c for c in trips.columns if c == "sourceid" and c not in wanted.fieldNames()]
@@ -164,19 +219,13 @@ def geo_to_zone(
 
 
 def geo_unmatched(
-    trips: DataFrame,
-    index: DataFrame,
-    cell: float = DEFAULT_CELL,
-    boundary: str = "exclude",
-    small: bool | None = None,
+    trips: DataFrame, index: DataFrame, cell: float = DEFAULT_CELL, small: bool | None = None
 ) -> DataFrame:
     """Coordinate trips with an end off the map, once each: the rest of ``geo_to_zone``."""
     small = index_is_small(index) if small is None else small
 
-    def probe(df, point, how):
-        return join_zones(
-            df, index, f"{point}_longitude", f"{point}_latitude", "_z", cell, boundary, how, small
-        )
+    def probe(df: DataFrame, point: str, how: str) -> DataFrame:
+        return join_zones(df, index, f"{point}_longitude", f"{point}_latitude", "z", cell, how, small)
 
     no_pickup = probe(trips, "pickup", "left_anti")
     no_dropoff = probe(probe(trips, "pickup", "left_semi"), "dropoff", "left_anti")
@@ -190,19 +239,15 @@ def zone_of_point(
     x: str,
     y: str,
     cell: float = DEFAULT_CELL,
-    boundary: str = "exclude",
     small: bool | None = None,
 ) -> DataFrame:
     """(key, zone_id): the zone of each point, the lowest id if several, -1 if none."""
-    located = join_zones(points, index, x, y, "_zone", cell, boundary, "left", small)
+    located = join_zones(points, index, x, y, "_zone", cell, "left", small)
     return located.groupBy(key).agg(F.coalesce(F.min("_zone"), F.lit(-1)).alias("zone_id"))
 
 
 def add_named_area(
-    areas: DataFrame,
-    zones: DataFrame,
-    zone_name: str,
-    attributes: dict[str, str],
+    areas: DataFrame, zones: DataFrame, zone_name: str, attributes: dict[str, str]
 ) -> DataFrame:
     """Add the shape of a named zone to another layer, under the given attributes."""
     shape = zones.filter(F.col("zone") == zone_name).select(

@@ -305,15 +305,15 @@ _OVERLAP = """pairs AS (SELECT t.shape AS gid, z.shape AS zone_id,
     greatest(least(t.x1, t.x2), least(z.x1, z.x2)) AS l,
     least(greatest(t.x1, t.x2), greatest(z.x1, z.x2)) AS r,
     t.x1 AS ax, t.y1 AS ay, (t.y2 - t.y1) / nullif(t.x2 - t.x1, 0) AS am,
-    z.x1 AS bx, z.y1 AS by, (z.y2 - z.y1) / nullif(z.x2 - z.x1, 0) AS bm
+    z.x1 AS ox, z.y1 AS oy, (z.y2 - z.y1) / nullif(z.x2 - z.x1, 0) AS bm
     FROM te t, ze z WHERE t.x1 <> t.x2 AND z.x1 <> z.x2),
-ends AS (SELECT *, ay + am*(l-ax) AS f0, ay + am*(r-ax) AS f1, by + bm*(l-bx) AS g0, by + bm*(r-bx) AS g1
+ends AS (SELECT *, ay + am*(l-ax) AS f0, ay + am*(r-ax) AS f1, oy + bm*(l-ox) AS g0, oy + bm*(r-ox) AS g1
     FROM pairs WHERE l < r),
 mids AS (SELECT *, CASE WHEN (f0-g0)*(f1-g1) < 0 THEN l + (r-l)*(g0-f0)/((f1-f0)-(g1-g0)) ELSE r END AS c
     FROM ends),
 parts AS (SELECT *, ay + am*(c-ax) AS fc FROM mids),
-common AS (SELECT gid, zone_id, abs(sum(s * ((c-l)*(least(f0,g0)+least(fc, by + bm*(c-bx)))/2
-    + (r-c)*(least(fc, by + bm*(c-bx))+least(f1,g1))/2))) AS a FROM parts GROUP BY gid, zone_id),
+common AS (SELECT gid, zone_id, abs(sum(s * ((c-l)*(least(f0,g0)+least(fc, oy + bm*(c-ox)))/2
+    + (r-c)*(least(fc, oy + bm*(c-ox))+least(f1,g1))/2))) AS a FROM parts GROUP BY gid, zone_id),
 areas AS (SELECT shape AS gid, abs(sum(x1*y2 - x2*y1))/2 AS a FROM te GROUP BY shape)"""
 
 

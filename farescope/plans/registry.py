@@ -137,7 +137,7 @@ def point_zone_or_default(spark, sf):
 
 def rate_lookup(spark, sf):
     return lookup.lookup_rates(
-        B.requests(spark, sf), rates_table(spark, sf), B.zone_index(spark, sf), B.CELL
+        B.requests(spark, sf), rates_table(spark, sf), B.zone_index(spark, sf, "include"), B.CELL
     )
 
 
@@ -148,7 +148,7 @@ def retype_segment(spark, sf):
 
 def segment_zone_map(spark, sf):
     layer = geometry.retype_segment(B.segments(spark, sf))
-    return overlay.crossing_map(layer, B.zone_index(spark, sf), "segmentid", B.CELL)
+    return overlay.crossing_map(layer, B.cells(spark, sf), "segmentid", B.CELL)
 
 
 def tract_zone_map(spark, sf):

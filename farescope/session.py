@@ -60,6 +60,19 @@ def broadcast_if_small(df: DataFrame, **limits) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, **limits) else df
 
 
+def evaluate_once(df: DataFrame, *columns) -> DataFrame:
+    """Select ``columns``, each computed once per row.
+
+    A filter on a computed column is moved below the projection that defines it, and
+    the definition is copied into every condition. Parsing text or building timestamps
+    a dozen times per row costs more than all the rest, and can grow the generated
+    code past what the JVM compiles. A one-element ``inline`` stays in place, inside
+    the same generated stage. Use it for computed columns only: it also keeps filters
+    from reaching a scan.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 

@@ -17,22 +17,22 @@ _RINGS = f"array<{_POINTS}>"
 _PARTS = f"array<{_RINGS}>"
 
 
-def geojson_rings(text: Column) -> Column:
+def geojson_rings(column: str) -> Column:
     """Vertex lists of a (multi)polygon or (multi)line geometry; NULL for other types."""
-    kind = F.get_json_object(text, "$.type")
-    coordinates = F.get_json_object(text, "$.coordinates")
-    return (
-        F.when(kind.isin("Polygon", "MultiLineString"), F.from_json(coordinates, _RINGS))
-        .when(kind == "MultiPolygon", F.flatten(F.from_json(coordinates, _PARTS)))
-        .when(kind == "LineString", F.array(F.from_json(coordinates, _POINTS)))
+    kind = f"get_json_object({column}, '$.type')"
+    coordinates = f"get_json_object({column}, '$.coordinates')"
+    return F.expr(
+        f"CASE WHEN {kind} IN ('Polygon', 'MultiLineString') THEN from_json({coordinates}, '{_RINGS}')"
+        f" WHEN {kind} = 'MultiPolygon' THEN flatten(from_json({coordinates}, '{_PARTS}'))"
+        f" WHEN {kind} = 'LineString' THEN array(from_json({coordinates}, '{_POINTS}')) END"
     )
 
 
 def load_geometry(df: DataFrame, geom_col: str, keep: list[str] | None = None) -> DataFrame:
     """Replace GeoJSON text by ``edges``; a shape stays one row and nothing is shuffled."""
     names = [c for c in df.columns if c != geom_col] if keep is None else keep
-    rings = geojson_rings(F.col(geom_col))
-    return df.select(*names, F.flatten(F.transform(rings, S.ring_edges)).alias("edges"))
+    rings = df.select(*names, geojson_rings(geom_col).alias("_rings"))
+    return rings.selectExpr(*names, f"flatten(transform(_rings, r -> {S.ring_edges('r')})) AS edges")
 
 
 def edge_rows(shapes: DataFrame, *keys: str) -> DataFrame:
