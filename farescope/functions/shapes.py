@@ -26,18 +26,6 @@ def in_box(e: str, x: str, y: str) -> str:
     )
 
 
-def left_of(e: str, x: str, y: str) -> str:
-    """Whether (x, y) is strictly to the left of an edge that spans y."""
-    s = side(e, x, y)
-    return f"({s} <> 0 AND ({s} > 0) = ({e}.y2 > {e}.y1))"
-
-
-def right_of(e: str, x: str, y: str) -> str:
-    """Whether (x, y) is strictly to the right of an edge that spans y."""
-    s = side(e, x, y)
-    return f"({s} <> 0 AND ({s} > 0) <> ({e}.y2 > {e}.y1))"
-
-
 def contains_point(edges: str, x: str, y: str, boundary: str = "exclude") -> str:
     """Whether (x, y) is inside; points on an edge count only with ``boundary="include"``.
 

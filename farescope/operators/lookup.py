@@ -46,12 +46,14 @@ def lookup_rates(
     rates: DataFrame,
     index: DataFrame,
     cell: float = DEFAULT_CELL,
+    boundary: str = "include",
     small: bool | None = None,
 ) -> DataFrame:
     """(request_id, series, hour, rate): three full 24-hour curves per request.
 
-    ``rate`` is NULL where no trips were seen. With an index made for
-    ``boundary="include"``, a point on a shared border averages the rates of both zones.
+    ``rate`` is NULL where no trips were seen. ``index`` is made
+    with the same ``boundary``; when borders are included, a point on a shared one
+    averages the rates of both zones.
     ``request_id`` must be unique.
     """
     located = join_zones(
@@ -61,6 +63,7 @@ def lookup_rates(
         "lat",
         "zone_id",
         cell,
+        boundary,
         "left",
         small,
     ).dropDuplicates(["request_id", "zone_id"])

@@ -12,7 +12,6 @@ from farescope.operators.spatial import (
     cell_join,
     cell_of,
     cell_range,
-    index_is_small,
 )
 from farescope.session import fits_broadcast
 
@@ -35,7 +34,7 @@ def crossing_map(
     In a cell wholly inside a zone the match is certain; elsewhere the edge must touch
     one of the zone's edges of that cell, or start inside the zone.
     """
-    small = index_is_small(cells) if small is None else small
+    small = fits_broadcast(cells, elements=F.size("edges")) if small is None else small
     pieces = (
         lines.select(F.col(key).alias("_line"), F.inline("edges"))
         .selectExpr(

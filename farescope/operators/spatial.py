@@ -2,10 +2,10 @@
 
 ``zone_cells`` cuts every zone into grid cells. A cell lying wholly inside its zone
 needs no test; a cell on the zone's border keeps the few edges that matter there.
-``point_index`` turns border cells into slabs between vertex heights, each with one
-edge on its left and one on its right, so that deciding a point takes two side tests
-in generated code. Only a point at the very height of a vertex is tested against the
-cell's edges one by one.
+``point_index`` cuts border cells further into bands between vertex heights. In a band
+edges neither start, end nor cross, so the zone's part of it is a list of pieces with
+one edge on the left and one on the right, and two side tests in generated code decide
+a point. A vertex height itself becomes a list of intervals of x.
 
 A point has one cell, so nothing is compared with every zone, and the point side is
 never shuffled while the index fits a broadcast.
@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from farescope import schemas
 from farescope.functions import shapes as S
-from farescope.session import fits_broadcast
+from farescope.session import evaluate_once, fits_broadcast
 
 DEFAULT_CELL = 0.005  # degrees; about a quarter of a city zone
 SALT = 16
 _MARGIN = 1e-9  # of a cell: keeps rounding at cell borders on the safe side
 
-_WHOLE, _SLAB, _LEVELS = 0, 1, 2
-_EDGE_TYPE = "struct<x1:double,y1:double,x2:double,y2:double>"
+# How an index row decides a point: always, between two edges, or on a vertex height.
+_WHOLE, _BAND, _LEVEL = 0, 1, 2
 
 
 def cell_of(value: str, cell: float) -> str:
@@ -58,81 +58,111 @@ def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
     """
     border = f"exists(edges, e -> {S.edge_meets_box('e', 'x0', 'y0', 'x1', 'y1')})"
     centre = S.contains_point("edges", "(x0 + x1) / 2D", "(y0 + y1) / 2D")
-    return (
+    near = (
+        "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0"
+        " AND greatest(e.x1, e.x2) >= x0)"
+    )
+    cells = (
         zones.where("size(edges) > 0")
         .selectExpr("zone_id", "edges", *S.bounds("edges"))
-        .selectExpr("*", f"{cell_range('ymin', 'ymax', cell)} AS cy")
-        .selectExpr("*", f"{cell_range('xmin', 'xmax', cell)} AS cx")
+        .selectExpr("zone_id", "edges", "xmin", "xmax", f"{cell_range('ymin', 'ymax', cell)} AS cy")
+        .selectExpr("zone_id", "edges", "cy", f"{cell_range('xmin', 'xmax', cell)} AS cx")
         .selectExpr("zone_id", "edges", "cx", "cy", *cell_box(cell))
-        .selectExpr(
-            "zone_id", "cx", "cy", "x0", "y0", "x1", "y1",
-            "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0"
-            " AND greatest(e.x1, e.x2) >= x0) AS edges",
-        )
-        .selectExpr("*", f"{border} AS border")
-        .selectExpr("*", f"(NOT border AND {centre}) AS whole")
-        .where("border OR whole")
-        .selectExpr(
-            "cx", "cy", "zone_id", "whole", "if(whole, slice(edges, 1, 0), edges) AS edges"
-        )
     )
+    boxed = evaluate_once(cells, "zone_id", "cx", "cy", "x0", "y0", "x1", "y1", f"{near} AS edges")
+    tested = evaluate_once(
+        boxed, "cx", "cy", "zone_id", f"{border} AS border", f"{centre} AS centre", "edges"
+    )
+    return tested.where("border OR centre").selectExpr(
+        "cx", "cy", "zone_id", "NOT border AS whole", "if(border, edges, slice(edges, 1, 0)) AS edges"
+    )
+
+
+def _piece(kind: int, left: tuple, right: tuple, spans: str) -> str:
+    names = ("lx", "ly", "ldx", "ldy", "rx", "ry", "rdx", "rdy")
+    fields = ", ".join(f"'{n}', {v}" for n, v in zip(names, left + right))
+    return f"named_struct('kind', {kind}, {fields}, 'spans', {spans})"
 
 
 def point_index(cells: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude") -> DataFrame:
-    """Rows that decide points: whole cells, slabs, and one row of vertex heights per border cell.
+    """Index rows of plain numbers that decide points; see the module's description.
 
-    (cx, cy, zone_id, kind, low, high, l, r, levels, edges, touching). A slab reaches from
-    ``low`` to ``high`` between edges ``l`` and ``r``, all of it between vertex heights,
-    so its edges neither start, end nor cross in it.
+    (cx, cy, zone_id, kind, low, high, lx, ly, ldx, ldy, rx, ry, rdx, rdy, spans): the
+    left and the right edge as a point and an upward direction, and for vertex heights
+    the spans of x in the zone: open intervals, and single values with equal ends.
+    ``boundary`` tells whether points on a zone's border are in it.
     """
-    if boundary not in S.BOUNDARIES:
-        raise ValueError(f"boundary must be one of {S.BOUNDARIES}, not {boundary!r}")
+    # Heights of the vertices in the cell, and the bands between them (low < high).
     heights = (
         "array_sort(array_distinct(filter(flatten(transform(edges, e -> array(e.y1, e.y2))),"
         " y -> y > y0 AND y < y1)))"
     )
-    no_edge = f"CAST(NULL AS {_EDGE_TYPE})"
-    head = ["cx", "cy", "zone_id"]
-    border = cells.where("NOT whole").selectExpr(*head, "edges", *cell_box(cell)).selectExpr(
-        "*", f"{heights} AS levels"
+    bands = (
+        "if(whole, array(named_struct('low', y0, 'high', y1)), concat("
+        "transform(sequence(1, size(cuts) - 1), i -> named_struct('low', cuts[i - 1], 'high', cuts[i])),"
+        " transform(slice(cuts, 2, size(cuts) - 2), y -> named_struct('low', y, 'high', y))))"
     )
-    whole = cells.where("whole").selectExpr(
-        *head, f"{_WHOLE} AS kind", "0D AS low", "0D AS high", f"{no_edge} AS l", f"{no_edge} AS r",
-        "CAST(NULL AS array<double>) AS levels", f"slice(array({no_edge}), 1, 0) AS edges",
-    )
-    levels = border.selectExpr(
-        *head, f"{_LEVELS} AS kind", "0D AS low", "0D AS high", f"{no_edge} AS l", f"{no_edge} AS r",
-        "levels", "edges",
-    ).where("size(levels) > 0")
-    # Edges that span the slab, by where they pass its middle. Edges left of the cell were
-    # dropped with the cell, so an odd number means that the slab is open on the left.
-    spanning = (
-        "transform(array_sort(transform(filter(edges, e -> least(e.y1, e.y2) <= low"
+    # Edges through a band, by where they pass its middle. Edges left of the cell were
+    # dropped with the cell: an odd number means that the zone goes on to the left.
+    across = (
+        "transform(array_sort(transform(filter(edges, e -> low < high AND least(e.y1, e.y2) <= low"
         f" AND greatest(e.y1, e.y2) >= high), e -> struct({S.x_at('e', '(low + high) / 2D')} AS at, e AS e))),"
         " p -> p.e)"
     )
-    open_left = "named_struct('x1', 2D * x0 - x1, 'y1', low, 'x2', 2D * x0 - x1, 'y2', high)"
-    slabs = (
-        border.selectExpr("*", "concat(array(y0), levels, array(y1)) AS cuts")
-        .selectExpr("*", "explode(sequence(1, size(cuts) - 1)) AS i")
-        .selectExpr(*head, "edges", "x0", "x1", "cuts[i - 1] AS low", "cuts[i] AS high")
-        .selectExpr(*head, "x0", "x1", "low", "high", f"{spanning} AS across")
-        .selectExpr(
-            *head, "x0", "x1", "low", "high",
-            f"if(size(across) % 2 = 1, concat(array({open_left}), across), across) AS across",
-        )
-        .where("size(across) > 0")
-        .selectExpr("*", "explode(sequence(1, size(across) - 1, 2)) AS i")
-        .selectExpr(*head, "x0", "x1", "low", "high", "across[i - 1] AS l", "across[i] AS r")
-        .where(f"least({S.x_at('l', 'low')}, {S.x_at('l', 'high')}) <= x1")
-        .where(f"greatest({S.x_at('r', 'low')}, {S.x_at('r', 'high')}) >= x0")
-        .selectExpr(
-            *head, f"{_SLAB} AS kind", "low", "high", "l", "r",
-            "CAST(NULL AS array<double>) AS levels", f"slice(array({no_edge}), 1, 0) AS edges",
+    outside = "named_struct('x1', 2D * x0 - x1, 'y1', low, 'x2', 2D * x0 - x1, 'y2', high)"
+    # Where edges meet a vertex height, within the cell.
+    stops = (
+        "array_sort(array_distinct(filter(flatten(transform(filter(edges, e -> low = high"
+        " AND low BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)), e -> CASE"
+        " WHEN e.y1 = low AND e.y2 = low THEN array(e.x1, e.x2)"
+        " WHEN e.y1 = low THEN array(e.x1) WHEN e.y2 = low THEN array(e.x2)"
+        f" ELSE array({S.x_at('e', 'low')}) END)), x -> x > x0 AND x < x1)))"
+    )
+
+    def upward(e: str) -> tuple[str, str, str, str]:
+        turn = f"signum({e}.y2 - {e}.y1)"
+        return f"{e}.x1", f"{e}.y1", f"({e}.x2 - {e}.x1) * {turn}", f"({e}.y2 - {e}.y1) * {turn}"
+
+    none, no_spans = ("0D",) * 4, "slice(array(named_struct('lo', 0D, 'hi', 0D)), 1, 0)"
+    band_pieces = (
+        "transform(sequence(1, greatest(size(across) - 1, 1), 2), i ->"
+        f" {_piece(_BAND, upward('across[i - 1]'), upward('across[i]'), no_spans)})"
+    )
+    gaps = (
+        "filter(transform(sequence(1, size(stops) - 1), i ->"
+        " named_struct('lo', stops[i - 1], 'hi', stops[i])), s -> "
+        f"{S.contains_point('edges', '((s.lo + s.hi) / 2D)', 'low', boundary)})"
+    )
+    spots = (
+        "transform(filter(slice(stops, 2, size(stops) - 2), x ->"
+        f" {S.contains_point('edges', 'x', 'low', boundary)}), x -> named_struct('lo', x, 'hi', x))"
+    )
+    head = ("cx", "cy", "zone_id", "whole", "edges", "x0", "x1")
+    boxed = cells.selectExpr("cx", "cy", "zone_id", "whole", "edges", *cell_box(cell))
+    cut = evaluate_once(boxed, *head, "y0", "y1", f"concat(array(y0), {heights}, array(y1)) AS cuts")
+    banded = cut.selectExpr(*head, f"inline({bands})")
+    crossed = evaluate_once(
+        banded, *head, "low", "high", f"{across} AS across", f"concat(array(x0), {stops}, array(x1)) AS stops"
+    )
+    paired = evaluate_once(
+        crossed, *head, "low", "high", "stops",
+        f"if(size(across) % 2 = 1, concat(array({outside}), across), across) AS across",
+    )
+    pieces = (
+        f"CASE WHEN whole THEN array({_piece(_WHOLE, none, none, no_spans)})"
+        f" WHEN low = high THEN array({_piece(_LEVEL, none, none, f'concat({gaps}, {spots})')})"
+        f" WHEN size(across) > 1 THEN {band_pieces} END"
+    )
+    return (
+        paired.selectExpr("cx", "cy", "zone_id", "low", "high", "x0", "x1", f"inline({pieces})")
+        # A band piece that ends left of the cell, or starts right of it, decides nothing there.
+        .where(f"kind <> {_LEVEL} OR size(spans) > 0")
+        .where(
+            f"kind <> {_BAND} OR (least(lx + ldx * ((low - ly) / ldy), lx + ldx * ((high - ly) / ldy)) <= x1"
+            " AND greatest(rx + rdx * ((low - ry) / rdy), rx + rdx * ((high - ry) / rdy)) >= x0)"
         )
+        .drop("x0", "x1")
     )
-    rows = whole.unionByName(slabs).unionByName(levels)
-    return rows.selectExpr("*", f"{str(boundary == 'include').lower()} AS touching")
 
 
 def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude") -> DataFrame:
@@ -140,23 +170,22 @@ def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "e
     return point_index(zone_cells(zones, cell), cell, boundary)
 
 
-def index_is_small(index: DataFrame) -> bool:
-    return fits_broadcast(index, elements=F.size("edges"))
+def _decides(p: str, x: str, y: str, boundary: str) -> str:
+    """Whether an index row (columns prefixed by ``p``) holds the point (x, y).
 
-
-def _decides(p: str, x: str, y: str) -> str:
-    """Whether an index row (columns prefixed by ``p``) holds the point (x, y)."""
-    left, right = f"{p}l", f"{p}r"
-    inside = f"({S.right_of(left, x, y)} AND {S.left_of(right, x, y)})"
-    closed = f"(NOT {S.left_of(left, x, y)} AND NOT {S.right_of(right, x, y)})"
-    edge_by_edge = (
-        f"if({p}touching, {S.contains_point(f'{p}edges', x, y, 'include')},"
-        f" {S.contains_point(f'{p}edges', x, y)})"
-    )
+    The fold over ``spans`` is reached only at the height of a vertex. It also keeps
+    Spark from fusing the join into the generated stage that made the point, which would
+    outgrow the size up to which the JVM compiles a method.
+    """
+    left = f"{p}ldx * ({y} - {p}ly) - ({x} - {p}lx) * {p}ldy"
+    right = f"{p}rdx * ({y} - {p}ry) - ({x} - {p}rx) * {p}rdy"
+    touch = "=" if boundary == "include" else ""
+    in_span = f"({x} > s.lo AND {x} < s.hi) OR ({x} = s.lo AND {x} = s.hi)"
     return (
         f"({p}kind = {_WHOLE}"
-        f" OR ({p}kind = {_SLAB} AND {y} > {p}low AND {y} < {p}high AND if({p}touching, {closed}, {inside}))"
-        f" OR ({p}kind = {_LEVELS} AND array_contains({p}levels, {y}) AND {edge_by_edge}))"
+        f" OR ({p}kind = {_BAND} AND {y} > {p}low AND {y} < {p}high"
+        f" AND {left} <{touch} 0D AND {right} >{touch} 0D)"
+        f" OR ({p}kind = {_LEVEL} AND {y} = {p}low AND exists({p}spans, s -> {in_span})))"
     )
 
 
@@ -182,22 +211,22 @@ def join_zones(
     y: str,
     zone: str,
     cell: float = DEFAULT_CELL,
+    boundary: str = "exclude",
     how: str = "inner",
     small: bool | None = None,
     salt: int = SALT,
 ) -> DataFrame:
     """Add column ``zone`` with the zone holding (x, y): one row per zone that does.
 
-    ``index`` comes from ``index_zones`` with the same cell size, which also settles
-    whether borders belong to a zone. ``how`` is any of inner, left, left_semi,
-    left_anti (the last two add no column).
+    ``index`` comes from ``index_zones`` with the same cell size and boundary. ``how`` is
+    any of inner, left, left_semi, left_anti (the last two add no column). A point on an
+    edge that two parts of one zone share can match it twice with ``"include"``.
     """
-    small = index_is_small(index) if small is None else small
+    small = fits_broadcast(index) if small is None else small
     p = f"_{zone}_"
     side = index.toDF(*[p + c for c in index.columns])
-    on = (
-        f"{p}cx = {cell_of(x, cell)} AND {p}cy = {cell_of(y, cell)} AND {_decides(p, x, y)}"
-    )
+    here = f"{p}cx = {cell_of(x, cell)} AND {p}cy = {cell_of(y, cell)}"
+    on = f"{here} AND {_decides(p, x, y, boundary)}"
     joined = cell_join(points, side, on, how, small, salt)
     if how in ("left_semi", "left_anti"):
         return joined
@@ -205,13 +234,17 @@ def join_zones(
 
 
 def geo_to_zone(
-    trips: DataFrame, index: DataFrame, cell: float = DEFAULT_CELL, small: bool | None = None
+    trips: DataFrame,
+    index: DataFrame,
+    cell: float = DEFAULT_CELL,
+    boundary: str = "exclude",
+    small: bool | None = None,
 ) -> DataFrame:
     """Coordinate trips with both ends in a zone, as zone trips."""
-    small = index_is_small(index) if small is None else small
+    small = fits_broadcast(index) if small is None else small
     for point, zone in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         trips = join_zones(
-            trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, "inner", small
+            trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, boundary, "inner", small
         )
     wanted = schemas.TRIPS_ZONE if "isholiday" in trips.columns else schemas.CLEAN_ZONE
     carried = [c for c in trips.columns if c == "sourceid" and c not in wanted.fieldNames()]
@@ -219,13 +252,19 @@ def geo_to_zone(
 
 
 def geo_unmatched(
-    trips: DataFrame, index: DataFrame, cell: float = DEFAULT_CELL, small: bool | None = None
+    trips: DataFrame,
+    index: DataFrame,
+    cell: float = DEFAULT_CELL,
+    boundary: str = "exclude",
+    small: bool | None = None,
 ) -> DataFrame:
     """Coordinate trips with an end off the map, once each: the rest of ``geo_to_zone``."""
-    small = index_is_small(index) if small is None else small
+    small = fits_broadcast(index) if small is None else small
 
     def probe(df: DataFrame, point: str, how: str) -> DataFrame:
-        return join_zones(df, index, f"{point}_longitude", f"{point}_latitude", "z", cell, how, small)
+        return join_zones(
+            df, index, f"{point}_longitude", f"{point}_latitude", "z", cell, boundary, how, small
+        )
 
     no_pickup = probe(trips, "pickup", "left_anti")
     no_dropoff = probe(probe(trips, "pickup", "left_semi"), "dropoff", "left_anti")
@@ -239,10 +278,11 @@ def zone_of_point(
     x: str,
     y: str,
     cell: float = DEFAULT_CELL,
+    boundary: str = "exclude",
     small: bool | None = None,
 ) -> DataFrame:
     """(key, zone_id): the zone of each point, the lowest id if several, -1 if none."""
-    located = join_zones(points, index, x, y, "_zone", cell, "left", small)
+    located = join_zones(points, index, x, y, "_zone", cell, boundary, "left", small)
     return located.groupBy(key).agg(F.coalesce(F.min("_zone"), F.lit(-1)).alias("zone_id"))
 
 

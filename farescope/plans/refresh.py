@@ -11,8 +11,8 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import EXACT_MINIMUM, file_state, may_load, register_files
 from farescope.operators.holidays import flag_holidays
 from farescope.operators.rates import build_rates
-from farescope.operators.spatial import DEFAULT_CELL, geo_to_zone, geo_unmatched, index_is_small
-from farescope.session import broadcast_if_small
+from farescope.operators.spatial import DEFAULT_CELL, geo_to_zone, geo_unmatched
+from farescope.session import broadcast_if_small, fits_broadcast
 from farescope.sources import tables
 from farescope.sources.trips_csv import list_trip_files, read_trip_files
 
@@ -65,7 +65,7 @@ def place_coordinates(
     Both writes replace whole sources, so a run that failed half-way is simply repeated.
     """
     staged = tables.read_trips(spark, base, tables.GEO_TABLE)
-    small = index_is_small(index)
+    small = fits_broadcast(index)
     tables.append_trips(geo_to_zone(staged, index, cell, small=small), base)
     (
         geo_unmatched(staged, index, cell, small=small)

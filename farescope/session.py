@@ -67,10 +67,11 @@ def evaluate_once(df: DataFrame, *columns) -> DataFrame:
     the definition is copied into every condition. Parsing text or building timestamps
     a dozen times per row costs more than all the rest, and can grow the generated
     code past what the JVM compiles. A one-element ``inline`` stays in place, inside
-    the same generated stage. Use it for computed columns only: it also keeps filters
-    from reaching a scan.
+    the same generated stage. ``columns`` are columns or SQL text. Use it for computed
+    columns only: it also keeps filters from reaching a scan.
     """
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    fields = [F.expr(c) if isinstance(c, str) else c for c in columns]
+    return df.select(F.inline(F.array(F.struct(*fields))))
 
 
 def shared_dir(spark: SparkSession) -> str:
