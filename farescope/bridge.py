@@ -15,7 +15,7 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import file_name
 from farescope.operators.holidays import flag_holidays, holiday_calendar
 from farescope.operators.spatial import point_index, zone_cells
-from farescope.session import evaluate_once
+from farescope.session import evaluate_once, spread_few_splits
 from farescope.sources.geometry import load_geometry
 
 AS_OF_YEAR = 2021
@@ -68,9 +68,10 @@ def raw_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
         "total_amount": distance * (F.lit(2) + part % 7) + F.lit(1.5),
         **ends,
     }
-    return evaluate_once(
-        table(spark, sf_dir, "lineitem"), *[c.alias(n) for n, c in columns.items()]
-    )
+    items = table(spark, sf_dir, "lineitem")
+    if geo:
+        items = spread_few_splits(items, "l_orderkey", "l_linenumber", "l_partkey")
+    return evaluate_once(items, *[c.alias(n) for n, c in columns.items()])
 
 
 # One header dialect per variant, in published spelling with stray characters.
