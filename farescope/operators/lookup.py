@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from farescope.functions.measures import two_decimals_stable
 from farescope.operators.spatial import DEFAULT_CELL, join_zones
+from farescope.session import broadcast_if_small
 
 SERIES = ("weekday", "weekend", "holiday")
 ANY_MONTH = 0
@@ -53,8 +54,10 @@ def lookup_rates(
 
     ``rate`` is NULL where no trips were seen. ``index`` is made
     with the same ``boundary``; when borders are included, a point on a shared one
-    averages the rates of both zones.
-    ``request_id`` must be unique.
+    averages the rates of both zones. ``request_id`` must be unique.
+
+    Requests are shuffled once, by their id and before they grow to 72 rows each; while
+    the curves fit a broadcast nothing after that moves a row.
     """
     located = join_zones(
         requests.select("request_id", "lat", "lng", "month", "traffic", "covid"),
@@ -66,9 +69,11 @@ def lookup_rates(
         boundary,
         "left",
         small,
-    ).dropDuplicates(["request_id", "zone_id"])
+    )
     grid = (
-        located.withColumn("series", F.explode(F.array(*[F.lit(s) for s in SERIES])))
+        located.repartition("request_id")
+        .dropDuplicates(["request_id", "zone_id"])
+        .withColumn("series", F.explode(F.array(*[F.lit(s) for s in SERIES])))
         .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
         .withColumns(
             {
@@ -79,7 +84,7 @@ def lookup_rates(
             }
         )
     )
-    curves = rate_curves(rates)
+    curves = broadcast_if_small(rate_curves(rates))
     on = (
         (F.col("zone_id") == F.col("_c_zone"))
         & (F.col("traffic") == F.col("_c_traffic"))

@@ -195,11 +195,14 @@ def cell_join(
     """Join ``left`` to a cell index.
 
     A small index is broadcast. A large one is shuffled together with ``left``, spread
-    over ``salt`` copies of each cell so that a crowded cell is not one task's work.
+    over ``salt`` copies of each cell so that a crowded cell is not one task's work. The
+    salt hashes the row and its input partition: many copies of one row are spread too,
+    and a task that is run again sends its rows the same way, in whatever order they come.
     """
     if small:
         return left.join(F.broadcast(index), F.expr(on), how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
+    mixed = F.xxhash64(*left.columns, F.spark_partition_id())
+    salted = left.withColumn("_salt", F.pmod(mixed, F.lit(salt)).cast("int"))
     copies = index.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS _copy")
     return salted.join(copies, F.expr(f"_salt = _copy AND {on}"), how).drop("_salt", "_copy")
 

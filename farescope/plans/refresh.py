@@ -66,7 +66,7 @@ def place_coordinates(
     """
     staged = tables.read_trips(spark, base, tables.GEO_TABLE)
     small = fits_broadcast(index)
-    tables.append_trips(geo_to_zone(staged, index, cell, small=small), base)
+    tables.append_trips(geo_to_zone(staged, index, cell, small=small), base, rebalance=not small)
     (
         geo_unmatched(staged, index, cell, small=small)
         .write.mode("overwrite")

@@ -136,8 +136,9 @@ def point_zone_or_default(spark, sf):
 
 
 def rate_lookup(spark, sf):
+    """Requests against the stored rates table."""
     return lookup.lookup_rates(
-        B.requests(spark, sf), rates_table(spark, sf), B.zone_index(spark, sf, "include"), B.CELL
+        B.requests(spark, sf), stored_rates(spark, sf), B.zone_index(spark, sf, "include"), B.CELL
     )
 
 

@@ -22,14 +22,18 @@ def table_for(df: DataFrame) -> str:
     return GEO_TABLE if schemas.has_coordinates(df) else ZONE_TABLE
 
 
-def append_trips(df: DataFrame, base: str) -> str:
+def append_trips(df: DataFrame, base: str, rebalance: bool = False) -> str:
     """Add trips to the table of their variant; returns the table's path.
 
     Tables are partitioned by source file and a source's partition is replaced as a
     whole, so loading a file again, or retrying a failed load, never doubles rows.
-    Tasks that read one file write one partition: no shuffle.
+    Tasks that read one file write one partition: no shuffle. ``rebalance`` is for rows
+    that come out of a shuffle and would leave a file per task and source; AQE then sizes
+    the files and splits large sources.
     """
     path = table_path(base, table_for(df))
+    if rebalance:
+        df = df.hint("rebalance", "sourceid")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

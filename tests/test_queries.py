@@ -10,7 +10,7 @@ from farescope.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = all_queries(), all_oracles()
-EAGER = {"csv_ingest", "trip_table", "stored_rates", "stream_ingest"}
+EAGER = {"csv_ingest", "trip_table", "stored_rates", "stream_ingest"}  # these write when built
 
 
 @pytest.fixture(scope="module")
