@@ -58,18 +58,22 @@ def zone_cells(zones: DataFrame, cell: float = DEFAULT_CELL) -> DataFrame:
     """
     border = f"exists(edges, e -> {S.edge_meets_box('e', 'x0', 'y0', 'x1', 'y1')})"
     centre = S.contains_point("edges", "(x0 + x1) / 2D", "(y0 + y1) / 2D")
-    near = (
-        "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0"
-        " AND greatest(e.x1, e.x2) >= x0)"
-    )
-    cells = (
+    x0, y0, x1, y1 = cell_box(cell)
+    rows = (
         zones.where("size(edges) > 0")
         .selectExpr("zone_id", "edges", *S.bounds("edges"))
         .selectExpr("zone_id", "edges", "xmin", "xmax", f"{cell_range('ymin', 'ymax', cell)} AS cy")
-        .selectExpr("zone_id", "edges", "cy", f"{cell_range('xmin', 'xmax', cell)} AS cx")
-        .selectExpr("zone_id", "edges", "cx", "cy", *cell_box(cell))
+        .selectExpr("*", y0, y1)
+        .selectExpr(
+            "zone_id", "xmin", "xmax", "cy", "y0", "y1",
+            "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0) AS edges",
+        )
     )
-    boxed = evaluate_once(cells, "zone_id", "cx", "cy", "x0", "y0", "x1", "y1", f"{near} AS edges")
+    cells = rows.selectExpr(
+        "zone_id", "edges", "cy", "y0", "y1", f"{cell_range('xmin', 'xmax', cell)} AS cx"
+    ).selectExpr("*", x0, x1)
+    right = "filter(edges, e -> greatest(e.x1, e.x2) >= x0) AS edges"
+    boxed = evaluate_once(cells, "zone_id", "cx", "cy", "x0", "y0", "x1", "y1", right)
     tested = evaluate_once(
         boxed, "cx", "cy", "zone_id", f"{border} AS border", f"{centre} AS centre", "edges"
     )
@@ -261,8 +265,24 @@ def geo_unmatched(
     boundary: str = "exclude",
     small: bool | None = None,
 ) -> DataFrame:
-    """Coordinate trips with an end off the map, once each: the rest of ``geo_to_zone``."""
+    """Coordinate trips with an end off the map, once each: the rest of ``geo_to_zone``.
+
+    One scan with two existence joins while the index is small; beyond that, salted anti
+    and semi joins.
+    """
     small = fits_broadcast(index) if small is None else small
+    if small:
+        missing = [
+            f"NOT EXISTS (SELECT * FROM {{index}} AS i WHERE"
+            f" i.cx = {cell_of(f't.{end}_longitude', cell)} AND i.cy = {cell_of(f't.{end}_latitude', cell)}"
+            f" AND {_decides('i.', f't.{end}_longitude', f't.{end}_latitude', boundary)})"
+            for end in ("pickup", "dropoff")
+        ]
+        return trips.sparkSession.sql(
+            f"SELECT t.* FROM {{trips}} AS t WHERE {' OR '.join(missing)}",
+            trips=trips,
+            index=F.broadcast(index),
+        )
 
     def probe(df: DataFrame, point: str, how: str) -> DataFrame:
         return join_zones(

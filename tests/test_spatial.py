@@ -125,8 +125,11 @@ def test_conversion_splits_trips(spark, zones):
     # The last trip starts and ends where two zones overlap: one row per pair of zones.
     ends = Counter((r.PULocationID, r.DOLocationID) for r in done.collect())
     assert ends == Counter([(1, 2), (1, 1), (1, 5), (5, 1), (5, 5)])
-    lost = {(r.pickup_longitude, r.dropoff_longitude) for r in geo_unmatched(filled, index, 0.5).collect()}
-    assert lost == {(0.5, 99.0), (99.0, 0.5)}
+    for small in (True, False):
+        lost = geo_unmatched(filled, index, 0.5, small=small)
+        assert lost.columns == names
+        places = sorted((r.pickup_longitude, r.dropoff_longitude) for r in lost.collect())
+        assert places == [(0.5, 99.0), (99.0, 0.5)]
 
 
 def test_added_area(spark, zones):
