@@ -54,13 +54,14 @@ def good_files(registry: DataFrame, provider: str | None = None) -> DataFrame:
 
 
 def pending_files(expected: DataFrame, registry: DataFrame) -> DataFrame:
-    """Expected files not yet known complete."""
-    return expected.join(good_files(registry), "filename", "left_anti").select("filename")
+    """Expected files not yet known complete, in order of name."""
+    missing = expected.join(good_files(registry), "filename", "left_anti")
+    return missing.select("filename").orderBy("filename")
 
 
 def loadable_files(pending: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pending files that are in storage under exactly that name."""
-    return pending.join(stored.select("filename"), "filename", "left_semi")
+    """Pending files that are in storage under exactly that name, in order of name."""
+    return pending.join(stored.select("filename"), "filename", "left_semi").orderBy("filename")
 
 
 def dense_ids(df: DataFrame, key: str, start: Column | int = 0, buckets: int = 64) -> DataFrame:

@@ -103,4 +103,6 @@ def lookup_rates(
             "hour",
             two_decimals_stable(F.try_divide("total", "n")).alias("rate"),
         )
+        # A request's rows are in one partition already: this orders its curves by hour.
+        .sortWithinPartitions("request_id", "series", "hour")
     )

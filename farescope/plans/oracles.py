@@ -494,6 +494,27 @@ def all_oracles() -> dict[str, str]:
   FROM trips, (SELECT unnest(['tripdata', 'tripdata_geo']) AS variant) v GROUP BY 1, 2, 3""",
         ),
     }
+    out["place_coordinates"] = _select(
+        (*GEO_TRIPS, ZONE_EDGES, *GEO_MATCH),
+        f"SELECT {stored}, cast(pickup_year AS bigint) AS sourceid FROM placed",
+    )
+    # Both variants keep the same trips (no pickup place is zero), so both come from one table.
+    out["batch_rates"] = _select(
+        (
+            *GEO_TRIPS,
+            ZONE_EDGES,
+            *GEO_MATCH,
+            "everything AS (SELECT PULocationID, pickup_year, pickup_month, pickup_date, pickup_hour, traffic, rate, "
+            "isholiday, isweekend FROM trips UNION ALL SELECT PULocationID, pickup_year, pickup_month, pickup_date, "
+            "pickup_hour, traffic, rate, isholiday, isweekend FROM placed)",
+        ),
+        _all_slices(source="everything"),
+    )
+    maps = {n: out[n] for n in ("segment_zone_map", "tract_zone_map")}
+    out["stored_mappings"] = (
+        f"SELECT 'segments' AS layer, cast(segmentid AS bigint) AS id, zone_id FROM ({maps['segment_zone_map']}) s "
+        f"UNION ALL SELECT 'tracts', gid, zone_id FROM ({maps['tract_zone_map']}) t"
+    )
     out["unify_headers"] = out["clean_trips"]
     out["csv_ingest"] = out["clean_trips"]
     for name in ("holiday", "workday", "weekend"):

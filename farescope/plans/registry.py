@@ -12,6 +12,7 @@ from farescope import bridge as B
 from farescope.functions import measures as M
 from farescope.functions.names import sanitize_columns, unify_columns
 from farescope.operators import clean, files, lookup, overlay, rates, spatial
+from farescope.plans import refresh
 from farescope.sources import geometry, tables
 from farescope.sources.trips_csv import list_trip_files, read_trip_files
 from farescope.session import shared_dir
@@ -230,14 +231,52 @@ def csv_ingest(spark, sf):
 
 
 def trip_table(spark, sf):
-    """Trips appended twice to a table and read back: each source counts once."""
+    """Trips appended twice to a table and read back: each source counts once.
+
+    The stand-in sources cut across input files, hence the rebalanced writes.
+    """
     base = shared_dir(spark)
     trips = B.trips(spark, sf).withColumn("sourceid", F.col("PULocationID").cast("long"))
-    tables.append_trips(trips, base)
-    tables.append_trips(trips.filter("PULocationID <= 5"), base)
+    tables.append_trips(trips, base, rebalance=True)
+    tables.append_trips(trips.filter("PULocationID <= 5"), base, rebalance=True)
     return tables.read_trips(spark, base)
 
 
+def place_coordinates(spark, sf):
+    """Coordinate trips staged, then moved to the zone table; a trip's year is its source."""
+    base = shared_dir(spark)
+    trips = B.trips(spark, sf, geo=True).withColumn("sourceid", F.col("pickup_year").cast("long"))
+    tables.append_trips(trips, base, rebalance=True)
+    refresh.place_coordinates(spark, base, B.zone_index(spark, sf), B.CELL)
+    return tables.read_trips(spark, base)
+
+
+def batch_rates(spark, sf):
+    """Zone and coordinate files through every step of the batch run, down to the rates."""
+    base, incoming = shared_dir(spark), shared_dir(spark)
+    for geo in (False, True):
+        B.text_trips(spark, sf, geo).write.option("header", True).mode("append").csv(incoming)
+    index, calendar = B.zone_index(spark, sf), B.calendar(spark)
+    return refresh.run_pipeline(spark, incoming, base, index, calendar, B.CELL, B.AS_OF_YEAR)
+
+
+def stored_mappings(spark, sf):
+    """Both overlay mappings as tables, read back."""
+    base = shared_dir(spark)
+    parts = []
+    for name, key, mapping in (
+        ("segments", "segmentid", segment_zone_map(spark, sf)),
+        ("tracts", "gid", tract_zone_map(spark, sf)),
+    ):
+        path = tables.write_mapping(mapping, base, name)
+        parts.append(
+            spark.read.parquet(path).select(
+                F.lit(name).alias("layer"), F.col(key).cast("long").alias("id"), "zone_id"
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 def stored_rates(spark, sf):
     base = shared_dir(spark)
     tables.write_rates(rates_table(spark, sf), base)
@@ -300,6 +339,9 @@ def all_queries() -> dict[str, Query]:
         "trip_table": trip_table,
         "stored_rates": stored_rates,
         "stream_ingest": stream_ingest,
+        "place_coordinates": place_coordinates,
+        "batch_rates": batch_rates,
+        "stored_mappings": stored_mappings,
     }
     for name in rates.SLICES:
         named[f"rates_{name}"] = partial(rate_slice, name)

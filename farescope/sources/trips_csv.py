@@ -67,6 +67,8 @@ def read_trip_files(
     sides: dict[bool, list[DataFrame]] = {True: [], False: []}
     for _, group in sorted(header_groups(spark, paths).items()):
         raw = read_trips_csv(spark, group, multiline, with_file=True)
+        if "pickup_datetime" not in raw.columns:
+            continue  # not a trip file: its row count will say so
         sides[schemas.has_coordinates(raw)].append(typed(raw))
 
     def merge(parts: list[DataFrame]) -> DataFrame | None:
@@ -76,7 +78,10 @@ def read_trip_files(
 
 
 def list_trip_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """(path, filename, length) of the CSV files under ``path``; contents are not read."""
+    """(path, filename, length) of the CSV files under ``path``; contents are not read.
+
+    Spark leaves empty files out.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")

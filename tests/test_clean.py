@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from farescope import clean_trips, odd_date_trips, reject_audit, sanitize_columns, unify_columns
 from farescope.functions.names import sanitize_name
 from farescope.functions import measures as M
+from farescope.operators.clean import typed
 from farescope.schemas import CLEAN_GEO, CLEAN_ZONE
 
 GOOD = dict(
@@ -106,6 +107,25 @@ def test_durations_ignore_the_session_time_zone(spark):
     assert row.duration == 1.5
 
 
+def test_filters_reach_a_typed_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    typed(frame(spark, {}, {"passenger_count": "0"})).write.parquet(path)
+    df = clean_trips(spark.read.parquet(path), 2021)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    for test in (
+        "GreaterThan(passenger_count,0)",
+        "GreaterThan(trip_distance,0.5)",
+        "GreaterThanOrEqual(total_amount,2.5)",
+        "GreaterThan(PULocationID,0)",
+        "GreaterThanOrEqual(pickup_datetime,2008-01-01T00:00)",
+        "LessThan(pickup_datetime,2022-01-01T00:00)",
+    ):
+        assert test in pushed
+    assert "Exchange" not in plan
+    assert df.count() == 1
+
+
 def test_names():
     assert sanitize_name(" Trip_Distance") == "Trip_Distance"
     assert sanitize_name("total_amount\r") == "total_amount"

@@ -10,7 +10,17 @@ from farescope.plans.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = all_queries(), all_oracles()
-EAGER = {"csv_ingest", "trip_table", "stored_rates", "stream_ingest"}  # these write when built
+# These write tables when built.
+EAGER = {
+    "csv_ingest",
+    "trip_table",
+    "rate_lookup",
+    "stored_rates",
+    "stored_mappings",
+    "stream_ingest",
+    "place_coordinates",
+    "batch_rates",
+}
 
 
 @pytest.fixture(scope="module")

@@ -54,6 +54,7 @@ def incoming(tmp_path):
     put(folder, "green_tripdata_2014-01.csv", "green_old", 13)
     put(folder, "green_tripdata_2018-05.csv", "green_new", 10)
     (folder / "notes.txt").write_text("not a trip file")
+    (folder / "other.csv").write_text("a,b\n1,2\n")
     return folder
 
 
@@ -65,7 +66,7 @@ def index(spark):
 
 def test_listing(spark, incoming):
     listed = {r.filename: r.length for r in list_trip_files(spark, str(incoming)).collect()}
-    assert len(listed) == 5 and all(n > 0 for n in listed.values())
+    assert len(listed) == 6 and all(n > 0 for n in listed.values())
 
 
 def test_dialects_come_out_alike(spark, incoming):
@@ -106,11 +107,12 @@ def test_batch_run_twice(spark, incoming, tmp_path, index):
             "yellow_tripdata_2018-06.csv": 0,
             "green_tripdata_2014-01.csv": 2,
             "green_tripdata_2018-05.csv": 2,
+            "other.csv": 0,
         }
         got = {(r.zoneid, r.target_month, r.isholiday): r.rate for r in rates.collect()}
         assert got == {(1, 5, 0): 4.0, (2, 5, 0): 4.0, (1, 0, 1): 4.0}
     ids = [r.id for r in tables.read_registry(spark, base).collect()]
-    assert sorted(ids) == [1, 2, 3, 4, 5]
+    assert sorted(ids) == [1, 2, 3, 4, 5, 6]
 
 
 def test_a_changed_file_replaces_its_rows(spark, tmp_path):
@@ -143,7 +145,7 @@ def test_stream_takes_each_file_once(spark, incoming, tmp_path):
         )
 
     zone, geo, version = run()
-    assert (zone, geo) == (24, 25) and version == 3
+    assert (zone, geo) == (24, 25) and version == 3  # six files, two per batch
     assert run() == (zone, geo, version)
     put(incoming, "green_tripdata_2018-06.csv", "green_new", 5)
     assert run() == (zone + 5, geo, version + 1)
