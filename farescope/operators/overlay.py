@@ -35,6 +35,10 @@ def crossing_map(
     one of the zone's edges of that cell, or start inside the zone.
     """
     small = fits_broadcast(cells, elements=F.size("edges")) if small is None else small
+    # The stretch of an edge within a column of cells bounds the rows of cells to look at.
+    from_x, to_x = "greatest(x0, least(e.x1, e.x2))", "least(x1, greatest(e.x1, e.x2))"
+    ends = f"array(coalesce({S.y_at('e', from_x)}, e.y1), coalesce({S.y_at('e', to_x)}, e.y2))"
+    x0, y0, x1, y1 = cell_box(cell)
     pieces = (
         lines.select(F.col(key).alias("_line"), F.inline("edges"))
         .selectExpr(
@@ -42,8 +46,13 @@ def crossing_map(
             "struct(x1, y1, x2, y2) AS e",
             f"{cell_range('least(x1, x2)', 'greatest(x1, x2)', cell)} AS cx",
         )
-        .selectExpr("*", f"{cell_range('least(e.y1, e.y2)', 'greatest(e.y1, e.y2)', cell)} AS cy")
-        .selectExpr("*", *cell_box(cell))
+        .selectExpr("*", x0, x1)
+        .selectExpr("*", f"{ends} AS ends")
+        .selectExpr(
+            "_line", "e", "cx", "x0", "x1",
+            f"explode(sequence({cell_of('array_min(ends)', cell)} - 1, {cell_of('array_max(ends)', cell)} + 1)) AS cy",
+        )
+        .selectExpr("*", y0, y1)
         .where(S.edge_meets_box("e", "x0", "y0", "x1", "y1"))
         .selectExpr("_line", "e", "cx AS _cx", "cy AS _cy")
     )
