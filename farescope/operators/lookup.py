@@ -70,8 +70,10 @@ def lookup_rates(
         "left",
         small,
     )
+    # The number is given so that AQE does not merge partitions by their size before growth.
+    parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = (
-        located.repartition("request_id")
+        located.repartition(parts, "request_id")
         .dropDuplicates(["request_id", "zone_id"])
         .withColumn("series", F.explode(F.array(*[F.lit(s) for s in SERIES])))
         .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
