@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,11 +85,10 @@ def spread_few_splits(df: DataFrame, *keys: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Every executor must be able to reach it. A machine-local folder is made only
-    where the setting is absent, which is the single-machine case of the tests.
+    Every executor must be able to reach it. Where the setting is absent, the session's
+    warehouse folder takes its place, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="farescope-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
     return os.path.join(base, f"farescope-{uuid.uuid4().hex}")
