@@ -224,7 +224,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     key = F.xxhash64("doc_id", "text")
     sample = docs.where("text <> ''").select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), key.alias("key"))
     sample = sample.orderBy("key", "text").limit(SAMPLE_DOCUMENTS).select("text").coalesce(1)
-    dictionary = bytes(sample.mapInArrow(_train(tokenizer), "dictionary binary").first()[0])
+    trained = sample.mapInArrow(_train(tokenizer), "dictionary binary").first()  # None without texts
+    dictionary = bytes(trained[0]) if trained else b""
     width = encoder(tokenizer).dtype.itemsize
     row = [(dictionary, hashlib.sha256(dictionary).hexdigest(), width)]
     docs.sparkSession.createDataFrame(row, "dictionary binary, sha256 string, width int").coalesce(1).write.parquet(f"{path}/dictionary")
