@@ -54,6 +54,15 @@ def typed(df: DataFrame) -> DataFrame:
     return evaluate_once(df, *columns) if parsed else df.select(*columns)
 
 
+def completed(df: DataFrame) -> DataFrame:
+    """``typed`` columns with those that a file lacks as NULL, so that its rows are rejected."""
+    ends = schemas.GEO_ENDS if schemas.has_coordinates(df) else schemas.ZONE_ENDS
+    others = set(schemas.GEO_ENDS) | set(schemas.ZONE_ENDS)
+    wanted = [c for c in _RAW_TYPES if c not in others or c in ends]
+    known = {c.lower() for c in df.columns}
+    return df.withColumns({c: F.lit(None).cast(_RAW_TYPES[c]) for c in wanted if c.lower() not in known})
+
+
 def _with_quotients(df: DataFrame) -> DataFrame:
     fare = F.col("total_amount") - F.col("tip_amount")
     seconds = M.seconds_between(F.col("pickup_datetime"), F.col("dropoff_datetime"))

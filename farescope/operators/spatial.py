@@ -29,8 +29,11 @@ _WHOLE, _BAND, _LEVEL = 0, 1, 2
 
 
 def cell_of(value: str, cell: float) -> str:
-    """Cell number of a coordinate. Two 32-bit numbers join as one 64-bit hash key."""
-    return f"CAST(floor({value} / {float(cell)!r}D) AS INT)"
+    """Cell number of a coordinate. Two 32-bit numbers join as one 64-bit hash key.
+
+    A coordinate that is no number, or too large for a cell, is in no cell.
+    """
+    return f"try_cast(floor(nullif({value}, double('NaN')) / {float(cell)!r}D) AS INT)"
 
 
 def cell_range(low: str, high: str, cell: float) -> str:

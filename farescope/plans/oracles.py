@@ -345,13 +345,12 @@ _LOOKUP = """rates AS ({slices}),
 grid AS (SELECT r.*, s.series, h.hour FROM req r,
     (SELECT unnest(['weekday', 'weekend', 'holiday']) AS series) s,
     (SELECT cast(range AS integer) AS hour FROM range(0, 24)) h),
-hits AS (SELECT g.request_id, g.series, g.hour, avg(r.rate) AS rate
-    FROM grid g JOIN hit ON hit.id = g.request_id JOIN rates r ON r.zoneid = hit.zone_id
-      AND r.traffic = g.traffic AND r.target_hour = g.hour AND r.iscovid = cast(g.covid AS integer)
-      AND CASE g.series WHEN 'weekday' THEN r.isweekend = 0 WHEN 'weekend' THEN r.isweekend = 1
-          ELSE r.isholiday = 1 END
-      AND (g.covid OR g.series = 'holiday' OR r.target_month = g.month)
-    GROUP BY 1, 2, 3)"""
+near AS MATERIALIZED (SELECT q.*, hit.zone_id FROM req q JOIN hit ON hit.id = q.request_id),
+hits AS (SELECT n.request_id, r.target_hour AS hour, avg(r.rate) AS rate,
+      CASE WHEN r.isholiday = 1 THEN 'holiday' WHEN r.isweekend = 1 THEN 'weekend' ELSE 'weekday' END AS series
+    FROM near n JOIN rates r ON r.zoneid = n.zone_id AND r.traffic = n.traffic AND r.iscovid = cast(n.covid AS integer)
+    WHERE n.covid OR r.isholiday = 1 OR r.target_month = n.month
+    GROUP BY ALL)"""
 
 
 def _select(ctes: tuple[str, ...], body: str) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farescope import schemas
 from farescope.operators.clean import clean_trips
 from farescope.operators.files import EXACT_MINIMUM, file_state, may_load, register_files
 from farescope.operators.holidays import flag_holidays
@@ -18,11 +19,11 @@ from farescope.sources.trips_csv import list_trip_files, read_trip_files
 
 
 def with_source(trips: DataFrame, registry: DataFrame) -> DataFrame:
-    """Replace ``filename`` by the registered file id."""
-    ids = registry.select(F.col("filename").alias("_name"), F.col("id").alias("sourceid"))
-    return trips.join(broadcast_if_small(ids), F.col("filename") == F.col("_name")).drop(
-        "filename", "_name"
-    )
+    """Replace ``filename`` by the registered file id; rows of an unknown file are an error."""
+    ids = registry.select(F.col("filename").alias("_name"), F.col("id").alias("_id"))
+    known = F.coalesce("_id", F.raise_error(F.concat(F.lit("not registered: "), "filename")).cast("long"))
+    joined = trips.join(broadcast_if_small(ids), F.col("filename") == F.col("_name"), "left")
+    return joined.withColumn("sourceid", known).drop("filename", "_name", "_id")
 
 
 def load_files(
@@ -35,7 +36,9 @@ def load_files(
 ) -> int:
     """Register, clean, flag and store the trips of ``paths``; returns how many files were read.
 
-    Files known complete are skipped; any other file's earlier rows are replaced.
+    Files known complete are skipped. Any other file's earlier rows are removed from all trip
+    tables first, and the file counts as unchecked again, so a reload that keeps nothing leaves
+    nothing, and one that breaks off is simply repeated.
     """
     paths = list(paths)
     if not paths:
@@ -43,13 +46,19 @@ def load_files(
     named = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("filename", F.col("path"))
     registry = tables.read_registry(spark, base)
     fresh = register_files(registry, named)
-    tables.write_registry(registry.unionByName(fresh), base)
-    registry = tables.read_registry(spark, base)
+    registry = registry.unionByName(fresh)
     base_name = F.lower(F.element_at(F.split("path", "/"), -1))
-    wanted = named.select("path", base_name.alias("filename")).join(
-        may_load(registry), "filename", "left_semi"
+    named = named.select("path", base_name.alias("filename"))
+    again = named.select("filename").distinct().withColumn("_again", F.lit(True))
+    open_ = F.col("_again").isNotNull() & (F.col("islocked") != schemas.GOOD)
+    registry = registry.join(again, "filename", "left").withColumn(
+        "islocked", F.when(open_, F.lit(schemas.UNCHECKED)).otherwise(F.col("islocked"))
     )
-    chosen = [row.path for row in wanted.select("path").collect()]  # file names only
+    tables.write_registry(registry.drop("_again").select(*fresh.columns), base)
+    registry = tables.read_registry(spark, base)
+    wanted = named.join(may_load(registry).select("filename", "id"), "filename").select("path", "id").collect()
+    chosen = [row.path for row in wanted]  # file names only
+    tables.drop_sources(spark, base, sorted({row.id for row in wanted}))
     for raw in read_trip_files(spark, chosen, multiline):
         if raw is not None:
             cleaned = with_source(clean_trips(raw, as_of_year), registry)
@@ -62,9 +71,12 @@ def place_coordinates(
 ) -> None:
     """Move staged coordinate trips to the zone table, those off the map to a table of their own.
 
-    Both writes replace whole sources, so a run that failed half-way is simply repeated.
+    Both writes replace whole sources, so a run that failed half-way is simply repeated. Sources
+    that are staged meanwhile stay staged.
     """
     staged = tables.read_trips(spark, base, tables.GEO_TABLE)
+    ids = [row.sourceid for row in staged.select("sourceid").distinct().collect()]  # a number a file
+    staged = staged.where(F.col("sourceid").isin(ids))
     small = fits_broadcast(index)
     tables.append_trips(geo_to_zone(staged, index, cell, small=small), base, rebalance=not small)
     (
@@ -72,9 +84,9 @@ def place_coordinates(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("sourceid")
-        .parquet(tables.table_path(base, "tripdata_unmatched"))
+        .parquet(tables.table_path(base, tables.UNMATCHED_TABLE))
     )
-    tables.clear_trips(spark, base)
+    tables.drop_sources(spark, base, ids, (tables.GEO_TABLE,))
 
 
 def check_files(spark: SparkSession, base: str, minimum: int = EXACT_MINIMUM) -> None:

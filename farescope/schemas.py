@@ -15,6 +15,7 @@ _GEO_ENDS = [
     ("dropoff_latitude", T.DoubleType()),
     ("dropoff_longitude", T.DoubleType()),
 ]
+ZONE_ENDS, GEO_ENDS = [n for n, _ in _ZONE_ENDS], [n for n, _ in _GEO_ENDS]
 _MEASURES = [
     ("passenger_count", T.IntegerType()),
     ("trip_distance", T.DoubleType()),

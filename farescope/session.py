@@ -73,15 +73,6 @@ def evaluate_once(df: DataFrame, *columns) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*fields))))
 
 
-def spread_few_splits(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle a scan that has fewer splits than the cluster has cores; else leave it alone.
-
-    For work that is heavy per row on a table too small to be split, never at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
@@ -11,6 +12,8 @@ from farescope import schemas
 
 ZONE_TABLE = "tripdata"
 GEO_TABLE = "tripdata_geo"
+UNMATCHED_TABLE = "tripdata_unmatched"
+TRIP_TABLES = (ZONE_TABLE, GEO_TABLE, UNMATCHED_TABLE)
 
 
 def table_path(base: str, name: str) -> str:
@@ -55,16 +58,14 @@ def read_trips(spark: SparkSession, base: str, name: str = ZONE_TABLE) -> DataFr
     return stored.select(*schema.fieldNames())
 
 
-def clear_trips(spark: SparkSession, base: str, name: str = GEO_TABLE) -> None:
-    """Empty a staging table after its rows were moved."""
-    schema = schemas.TRIPS_GEO if name == GEO_TABLE else schemas.TRIPS_ZONE
-    (
-        spark.createDataFrame([], schema)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("sourceid")
-        .parquet(table_path(base, name))
-    )
+def drop_sources(spark: SparkSession, base: str, ids: Iterable[int], names: Iterable[str] = TRIP_TABLES) -> None:
+    """Remove the partitions of some sources from trip tables; other sources stay as they are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in names:
+        root = jvm.org.apache.hadoop.fs.Path(table_path(base, name))
+        files = root.getFileSystem(conf)
+        for i in ids:
+            files.delete(jvm.org.apache.hadoop.fs.Path(root, f"sourceid={i}"), True)
 
 
 def write_rates(rates: DataFrame, base: str) -> str:

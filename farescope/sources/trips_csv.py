@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from farescope import schemas
 from farescope.functions.names import sanitize_columns, unify_columns
-from farescope.operators.clean import typed
+from farescope.operators.clean import completed, typed
 
 _HEADER_READERS = 16
 
@@ -38,7 +38,9 @@ def read_trips_csv(
     """
     raw = _reader(spark, multiline).csv(path)
     if with_file:
-        raw = raw.select("*", F.lower(F.col("_metadata.file_name")).alias("filename"))
+        name = "_metadata.file_name"  # percent-encoded, unlike the names in the registry
+        plain = f"coalesce(try_url_decode(replace({name}, '+', '%2B')), {name})"
+        raw = raw.select("*", F.lower(F.expr(plain)).alias("filename"))
     return unify_columns(sanitize_columns(raw))
 
 
@@ -69,7 +71,7 @@ def read_trip_files(
         raw = read_trips_csv(spark, group, multiline, with_file=True)
         if "pickup_datetime" not in raw.columns:
             continue  # not a trip file: its row count will say so
-        sides[schemas.has_coordinates(raw)].append(typed(raw))
+        sides[schemas.has_coordinates(raw)].append(completed(typed(raw)))
 
     def merge(parts: list[DataFrame]) -> DataFrame | None:
         return reduce(DataFrame.unionByName, parts) if parts else None
@@ -84,7 +86,7 @@ def list_trip_files(spark: SparkSession, path: str, recursive: bool = False) ->
     """
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", recursive)
         .load(path)
         .select("path", F.element_at(F.split("path", "/"), -1).alias("filename"), "length")

@@ -29,7 +29,7 @@ def ingest_new_files(
     names = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(directory)
         .select("path")

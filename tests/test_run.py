@@ -161,3 +161,53 @@ def test_tables_round_trip(spark, tmp_path):
     tables.write_rates(rates, str(tmp_path))
     tables.write_rates(rates.filter("zoneid < 2"), str(tmp_path))
     assert tables.read_rates(spark, str(tmp_path)).count() == 2
+
+
+def loaded(spark, base):
+    trips = tables.read_trips(spark, base)
+    return trips.count(), {r["filename"]: r["islocked"] for r in tables.read_registry(spark, base).collect()}
+
+
+def test_odd_names_lose_no_rows(spark, tmp_path):
+    base, folder = str(tmp_path / "base"), tmp_path / "odd names"
+    folder.mkdir()
+    for name in ("a b.csv", "c+d%20e.csv", "YELLOW.CSV"):
+        put(folder, name, "yellow_new", 5)
+    paths = [r.path for r in list_trip_files(spark, str(folder)).select("path").collect()]
+    load_files(spark, paths, base, holiday_calendar(spark, 2025))
+    assert loaded(spark, base)[0] == 15
+
+
+def test_reload_replaces_rows_and_state(spark, tmp_path):
+    from farescope.plans.refresh import check_files
+
+    base, calendar = str(tmp_path / "base"), holiday_calendar(spark, 2025)
+    path = put(tmp_path, "f.csv", "yellow_new", 5)
+    load_files(spark, [path], base, calendar)
+    check_files(spark, base, 10)
+    assert loaded(spark, base) == (5, {"f.csv": 0})
+    (tmp_path / "f.csv").write_text(HEADERS["yellow_new"] + "\n")
+    load_files(spark, [path], base, calendar)
+    assert loaded(spark, base) == (0, {"f.csv": 1})
+    put(tmp_path, "f.csv", "yellow_new", 50)
+    load_files(spark, [path], base, calendar)
+    check_files(spark, base, 10)
+    assert loaded(spark, base) == (50, {"f.csv": 2})
+
+
+def test_file_without_a_column_is_rejected_not_fatal(spark, tmp_path):
+    base, short = str(tmp_path / "base"), tmp_path / "short.csv"
+    short.write_text("tpep_pickup_datetime,tpep_dropoff_datetime,PULocationID\n2018-05-07 10:00:00,2018-05-07 10:30:00,1\n")
+    paths = [str(short), put(tmp_path, "whole.csv", "yellow_new", 4)]
+    load_files(spark, paths, base, holiday_calendar(spark, 2025))
+    assert loaded(spark, base)[0] == 4
+
+
+def test_only_moved_sources_leave_the_staging_table(spark, tmp_path):
+    base = str(tmp_path / "base")
+    paths = [put(tmp_path, "a.csv", "yellow_old", 3), put(tmp_path, "b.csv", "yellow_old", 2)]
+    load_files(spark, paths, base, holiday_calendar(spark, 2025))
+    sources = lambda: sorted({r[0] for r in tables.read_trips(spark, base, tables.GEO_TABLE).select("sourceid").collect()})
+    ids = sources()
+    tables.drop_sources(spark, base, ids[:1], (tables.GEO_TABLE,))
+    assert len(ids) == 2 and sources() == ids[1:]

@@ -138,3 +138,10 @@ def test_added_area(spark, zones):
     row = out.filter("gid IS NULL").first()
     assert row.boroname == "New Jersey" and len(row.edges) == 4
     assert out.count() == areas.count() + 1
+
+
+def test_absurd_coordinates_are_in_no_cell(spark):
+    from farescope.operators.spatial import cell_of
+
+    rows = spark.createDataFrame([(1e9,), (-1e9,), (float("nan"),), (None,), (0.5,)], "x double")
+    assert [r[0] for r in rows.selectExpr(cell_of("x", 0.01) + " AS c").collect()] == [None] * 4 + [50]
