@@ -341,7 +341,7 @@ SEGMENTS = (
     "FROM supplier)"
 )
 
-_LOOKUP = """rates AS ({slices}),
+_LOOKUP = """rates AS MATERIALIZED ({slices}),
 grid AS (SELECT r.*, s.series, h.hour FROM req r,
     (SELECT unnest(['weekday', 'weekend', 'holiday']) AS series) s,
     (SELECT cast(range AS integer) AS hour FROM range(0, 24)) h),
