@@ -15,7 +15,7 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import file_name
 from farescope.operators.holidays import flag_holidays, holiday_calendar
 from farescope.operators.spatial import point_index, zone_cells
-from farescope.session import evaluate_once
+from farescope.session import evaluate_once, shared_dir
 from farescope.sources.geometry import load_geometry
 
 AS_OF_YEAR = 2021
@@ -141,7 +141,10 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_index(spark: SparkSession, sf_dir: str, boundary: str = "exclude") -> DataFrame:
-    return point_index(cells(spark, sf_dir), CELL, boundary)
+    """The point index of the zones, derived once and stored."""
+    path = shared_dir(spark)
+    point_index(cells(spark, sf_dir), CELL, boundary).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _tract_corner() -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farescope.functions.measures import two_decimals_stable
 from farescope.operators.spatial import DEFAULT_CELL, join_zones
-from farescope.session import broadcast_if_small
+from farescope.session import fits_broadcast
 
 SERIES = ("weekday", "weekend", "holiday")
 ANY_MONTH = 0
@@ -22,24 +22,27 @@ def _series_of_rate() -> Column:
 
 
 def rate_curves(rates: DataFrame) -> DataFrame:
-    """Rates keyed as requests ask for them, with a sum and a count to average further.
+    """Rates keyed as requests ask for them, a row for each curve.
 
-    (zone_id, traffic, iscovid, series, month, hour, total, n). The month is 0 where a
-    request's month does not matter: holidays, and everything under restrictions,
-    where the answer is the plain mean of the monthly means.
+    (zone, traffic, covid, series, month, hours), ``hours`` a map from the hour to a total and a
+    count that average further; 24 entries at most. The month is 0 where a request's month
+    does not matter: holidays, and everything under restrictions, where the answer is
+    the plain mean of the monthly means.
     """
-    series = _series_of_rate()
     month = F.when(
         (F.col("iscovid") == 1) | (F.col("isholiday") == 1), F.lit(ANY_MONTH)
     ).otherwise(F.col("target_month"))
-    return rates.groupBy(
+    keys = ["_c_zone", "_c_traffic", "_c_covid", "_c_series", "_c_month"]
+    hourly = rates.groupBy(
         F.col("zoneid").alias("_c_zone"),
         F.col("traffic").alias("_c_traffic"),
         F.col("iscovid").alias("_c_covid"),
-        series.alias("_c_series"),
+        _series_of_rate().alias("_c_series"),
         month.alias("_c_month"),
-        F.col("target_hour").alias("_c_hour"),
-    ).agg(F.sum("rate").alias("_c_total"), F.count("rate").alias("_c_n"))
+        F.col("target_hour").alias("_hour"),
+    ).agg(F.struct(F.sum("rate").alias("total"), F.count("rate").alias("n")).alias("_sums"))
+    entries = F.collect_list(F.struct("_hour", "_sums"))
+    return hourly.groupBy(*keys).agg(F.map_from_entries(entries).alias("_c_hours"))
 
 
 def lookup_rates(
@@ -52,12 +55,14 @@ def lookup_rates(
 ) -> DataFrame:
     """(request_id, series, hour, rate): three full 24-hour curves per request.
 
-    ``rate`` is NULL where no trips were seen. ``index`` is made
-    with the same ``boundary``; when borders are included, a point on a shared one
-    averages the rates of both zones. ``request_id`` must be unique.
+    ``rate`` is NULL where no trips were seen. ``index`` and ``rates`` are stored tables, as
+    their sizes are counted; the index is made with the same ``boundary``; when borders are
+    included, a point on a shared one averages the rates of both zones. ``request_id`` must be
+    unique.
 
-    Requests are shuffled once, by their id and before they grow to 72 rows each; while
-    the curves fit a broadcast nothing after that moves a row.
+    Requests are shuffled once, by their id. A request meets one curve per series and zone; hours
+    become rows at the very end. Curves are broadcast if ``rates``, which has a row for each
+    of their entries at least, passes the size check.
     """
     located = join_zones(
         requests.select("request_id", "lat", "lng", "month", "traffic", "covid"),
@@ -70,41 +75,37 @@ def lookup_rates(
         "left",
         small,
     )
-    # The number is given so that AQE does not merge partitions by their size before growth.
-    parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    month = F.when(F.col("covid") | (F.col("series") == "holiday"), F.lit(ANY_MONTH)).otherwise(F.col("month"))
     grid = (
-        located.repartition(parts, "request_id")
+        located.repartition("request_id")
         .dropDuplicates(["request_id", "zone_id"])
         .withColumn("series", F.explode(F.array(*[F.lit(s) for s in SERIES])))
-        .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-        .withColumns(
-            {
-                "covid": F.col("covid").cast("int"),
-                "month": F.when(
-                    F.col("covid") | (F.col("series") == "holiday"), F.lit(ANY_MONTH)
-                ).otherwise(F.col("month")),
-            }
-        )
+        .withColumns({"covid": F.col("covid").cast("int"), "month": month})
     )
-    curves = broadcast_if_small(rate_curves(rates))
+    curves = rate_curves(rates)
+    if fits_broadcast(rates):
+        curves = F.broadcast(curves)
     on = (
         (F.col("zone_id") == F.col("_c_zone"))
         & (F.col("traffic") == F.col("_c_traffic"))
         & (F.col("covid") == F.col("_c_covid"))
         & (F.col("series") == F.col("_c_series"))
         & (F.col("month") == F.col("_c_month"))
-        & (F.col("hour") == F.col("_c_hour"))
     )
+    found = grid.join(curves, on, "left").groupBy("request_id", "series").agg(F.collect_list("_c_hours").alias("zones"))
+
+    def over_zones(hour, field, zero):
+        values = F.filter(F.transform("zones", lambda z: z[hour][field]), lambda v: v.isNotNull())
+        return F.aggregate(values, zero, lambda total, v: total + v)
+
+    def rate(hour):
+        n = over_zones(hour, "n", F.lit(0).cast("bigint"))
+        return F.try_divide(over_zones(hour, "total", F.lit(0.0)), n)
+
+    hours = F.sequence(F.lit(0), F.lit(23))
+    rows = found.select("request_id", "series", F.posexplode(F.transform(hours, rate)).alias("hour", "mean"))
     return (
-        grid.join(curves, on, "left")
-        .groupBy("request_id", "series", "hour")
-        .agg(F.sum("_c_total").alias("total"), F.sum("_c_n").alias("n"))
-        .select(
-            "request_id",
-            "series",
-            "hour",
-            two_decimals_stable(F.try_divide("total", "n")).alias("rate"),
-        )
+        rows.select("request_id", "series", "hour", two_decimals_stable(F.col("mean")).alias("rate"))
         # A request's rows are in one partition already: this orders its curves by hour.
         .sortWithinPartitions("request_id", "series", "hour")
     )

@@ -177,6 +177,11 @@ def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "e
     return point_index(zone_cells(zones, cell), cell, boundary)
 
 
+def index_fits(index: DataFrame) -> bool:
+    """Whether a stored index may be broadcast: its rows are plain numbers but for the spans, which are counted."""
+    return fits_broadcast(index, elements=F.size("spans"))
+
+
 def _decides(p: str, x: str, y: str, boundary: str) -> str:
     """Whether an index row (columns prefixed by ``p``) holds the point (x, y).
 
@@ -232,7 +237,7 @@ def join_zones(
     any of inner, left, left_semi, left_anti (the last two add no column). A point on an
     edge that two parts of one zone share can match it twice with ``"include"``.
     """
-    small = fits_broadcast(index) if small is None else small
+    small = index_fits(index) if small is None else small
     p = f"_{zone}_"
     side = index.toDF(*[p + c for c in index.columns])
     here = f"{p}cx = {cell_of(x, cell)} AND {p}cy = {cell_of(y, cell)}"
@@ -251,7 +256,7 @@ def geo_to_zone(
     small: bool | None = None,
 ) -> DataFrame:
     """Coordinate trips with both ends in a zone, as zone trips."""
-    small = fits_broadcast(index) if small is None else small
+    small = index_fits(index) if small is None else small
     for point, zone in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         trips = join_zones(
             trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, boundary, "inner", small
@@ -273,7 +278,7 @@ def geo_unmatched(
     One scan with two existence joins while the index is small; beyond that, salted anti
     and semi joins.
     """
-    small = fits_broadcast(index) if small is None else small
+    small = index_fits(index) if small is None else small
     if small:
         missing = [
             f"NOT EXISTS (SELECT * FROM {{index}} AS i WHERE"

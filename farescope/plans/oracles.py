@@ -218,7 +218,6 @@ def _inside(name: str, points: str, include: bool = False) -> str:
 
 GEO_MATCH = (
     "gt AS (SELECT row_number() OVER () AS id, * FROM trips)",
-    # distinct places first: a place is tested once however many trips share it
     _inside("pu", "SELECT id, pickup_longitude AS x, pickup_latitude AS y FROM gt"),
     _inside("dof", "SELECT id, dropoff_longitude AS x, dropoff_latitude AS y FROM gt"),
     "placed AS (SELECT gt.* EXCLUDE (PULocationID, DOLocationID), pu.zone_id AS PULocationID, "
@@ -456,18 +455,18 @@ def all_oracles() -> dict[str, str]:
         "add_named_area": _select(
             (ZONE_EDGES, TRACT_EDGES),
             """SELECT gid, 'Borough ' || (s_nationkey % 5) AS boroname, s_name AS ntaname,
-  'NA' || s_nationkey AS ntacode, cast(4 AS integer) AS n_edges FROM tn
-  UNION ALL SELECT NULL, 'Outside', 'Added Airport', 'XX01', cast(count(*) AS integer)
-  FROM ze JOIN zn ON zn.zone_id = ze.shape WHERE zone = 'NATION_13' GROUP BY zone""",
+  'NA' || s_nationkey AS ntacode, x1, y1, x2, y2 FROM tn JOIN te ON te.shape = gid
+  UNION ALL SELECT NULL, 'Outside', 'Added Airport', 'XX01', x1, y1, x2, y2
+  FROM ze JOIN zn ON zn.zone_id = ze.shape WHERE zone = 'NATION_13'""",
         ),
         "expected_files": _select(FILES, "SELECT provider, filename FROM expected"),
         "pending_files": _select(FILES, "SELECT filename FROM pending"),
         "loadable_files": _select(FILES, "SELECT filename FROM pending WHERE filename IN (SELECT filename FROM stored)"),
         "register_files": _select(
             FILES,
-            """SELECT count(*) AS files, count(DISTINCT filename) AS names, count(*) AS ids,
-  cast(1 AS bigint) AS first_id, count(*) AS last_id, cast(1 AS integer) AS islocked
-  FROM expected WHERE filename NOT IN (SELECT filename FROM oreg WHERE islocked = 2)""",
+            """SELECT filename, cast(1 AS bigint) AS files, cast(1 AS bigint) AS ids, cast(NULL AS bigint) AS first_id,
+  cast(NULL AS bigint) AS last_id, cast(1 AS integer) AS islocked FROM pending
+  UNION ALL SELECT NULL, count(*), count(*), 1, count(*), 1 FROM pending""",
         ),
         "quick_completeness": _select(
             (*_events(R.EVENT_SOURCES), _WINDOWS),
@@ -489,13 +488,20 @@ def all_oracles() -> dict[str, str]:
         "stored_rates": _select(TRIPS, _all_slices()),
         "stream_ingest": _select(
             TRIPS,
-            """SELECT variant, pickup_year, pickup_month, count(*) AS trips
-  FROM trips, (SELECT unnest(['tripdata', 'tripdata_geo']) AS variant) v GROUP BY 1, 2, 3""",
+            f"""SELECT 'tripdata' AS variant, {stored} FROM trips
+  UNION ALL BY NAME SELECT 'tripdata_geo' AS variant, {geo_columns}, isholiday FROM trips""",
+        ),
+        "reload_states": _select(
+            TRIPS,
+            """SELECT phase, cast(CASE phase WHEN 0 THEN 0 ELSE 2 END AS integer) AS islocked, phase < 2 AS loaded,
+  pickup_year, count(*) AS trips FROM trips, (SELECT cast(range AS integer) AS phase FROM range(3)) p GROUP BY ALL""",
         ),
     }
     out["place_coordinates"] = _select(
         (*GEO_TRIPS, ZONE_EDGES, *GEO_MATCH),
-        f"SELECT {stored}, cast(pickup_year AS bigint) AS sourceid FROM placed",
+        f"""SELECT 'tripdata' AS variant, {stored}, cast(pickup_year AS bigint) AS sourceid FROM placed
+  UNION ALL BY NAME SELECT 'tripdata_unmatched' AS variant, {geo_columns}, isholiday, cast(pickup_year AS bigint) AS sourceid
+  FROM gt WHERE id NOT IN (SELECT id FROM pu) OR id NOT IN (SELECT id FROM dof)""",
     )
     # Both variants keep the same trips (no pickup place is zero), so both come from one table.
     out["batch_rates"] = _select(
@@ -511,8 +517,9 @@ def all_oracles() -> dict[str, str]:
     )
     maps = {n: out[n] for n in ("segment_zone_map", "tract_zone_map")}
     out["stored_mappings"] = (
-        f"SELECT 'segments' AS layer, cast(segmentid AS bigint) AS id, zone_id FROM ({maps['segment_zone_map']}) s "
-        f"UNION ALL SELECT 'tracts', gid, zone_id FROM ({maps['tract_zone_map']}) t"
+        f"SELECT 'segments' AS layer, cast(segmentid AS bigint) AS id, zone_id, cast(NULL AS double) AS overlap "
+        f"FROM ({maps['segment_zone_map']}) s "
+        f"UNION ALL SELECT 'tracts', gid, zone_id, overlap FROM ({maps['tract_zone_map']}) t"
     )
     out["unify_headers"] = out["clean_trips"]
     out["csv_ingest"] = out["clean_trips"]

@@ -12,8 +12,8 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import EXACT_MINIMUM, file_state, may_load, register_files
 from farescope.operators.holidays import flag_holidays
 from farescope.operators.rates import build_rates
-from farescope.operators.spatial import DEFAULT_CELL, geo_to_zone, geo_unmatched
-from farescope.session import broadcast_if_small, fits_broadcast
+from farescope.operators.spatial import DEFAULT_CELL, geo_to_zone, geo_unmatched, index_fits
+from farescope.session import broadcast_if_small
 from farescope.sources import tables
 from farescope.sources.trips_csv import list_trip_files, read_trip_files
 
@@ -77,11 +77,13 @@ def place_coordinates(
     staged = tables.read_trips(spark, base, tables.GEO_TABLE)
     ids = [row.sourceid for row in staged.select("sourceid").distinct().collect()]  # a number a file
     staged = staged.where(F.col("sourceid").isin(ids))
-    small = fits_broadcast(index)
+    small = index_fits(index)
     tables.append_trips(geo_to_zone(staged, index, cell, small=small), base, rebalance=not small)
+    unmatched = geo_unmatched(staged, index, cell, small=small)
+    if not small:
+        unmatched = unmatched.hint("rebalance", "sourceid")
     (
-        geo_unmatched(staged, index, cell, small=small)
-        .write.mode("overwrite")
+        unmatched.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("sourceid")
         .parquet(tables.table_path(base, tables.UNMATCHED_TABLE))

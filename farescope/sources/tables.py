@@ -14,6 +14,7 @@ ZONE_TABLE = "tripdata"
 GEO_TABLE = "tripdata_geo"
 UNMATCHED_TABLE = "tripdata_unmatched"
 TRIP_TABLES = (ZONE_TABLE, GEO_TABLE, UNMATCHED_TABLE)
+KEPT_VERSIONS = 3
 
 
 def table_path(base: str, name: str) -> str:
@@ -48,7 +49,7 @@ def append_trips(df: DataFrame, base: str, rebalance: bool = False) -> str:
 
 def read_trips(spark: SparkSession, base: str, name: str = ZONE_TABLE) -> DataFrame:
     """A trip table, empty when nothing was written yet."""
-    schema = schemas.TRIPS_GEO if name == GEO_TABLE else schemas.TRIPS_ZONE
+    schema = schemas.TRIPS_ZONE if name == ZONE_TABLE else schemas.TRIPS_GEO
     try:
         stored = spark.read.schema(schema).parquet(table_path(base, name))
     except AnalysisException as error:
@@ -68,20 +69,50 @@ def drop_sources(spark: SparkSession, base: str, ids: Iterable[int], names: Iter
             files.delete(jvm.org.apache.hadoop.fs.Path(root, f"sourceid={i}"), True)
 
 
-def write_rates(rates: DataFrame, base: str) -> str:
-    """Rebuild the rates table, rows clustered by their keys so that readers can skip."""
-    path = table_path(base, "rates")
-    (
-        rates.sortWithinPartitions("zoneid", "target_month", "target_hour", "traffic")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .parquet(path)
-    )
+def versions(spark: SparkSession, base: str, name: str) -> list[int]:
+    """Numbers of the complete versions of a table, in order. Lists its folders, not their files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(table_path(base, name))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = {s.getPath().getName(): s.getPath() for s in files.listStatus(root)}
+    numbered = {m.group(1): p for n, p in found.items() if (m := re.fullmatch(r"version=(\d+)", n))}
+    return sorted(int(n) for n, p in numbered.items() if files.exists(path(p, "_SUCCESS")))
+
+
+def write_version(df: DataFrame, base: str, name: str) -> str:
+    """Store a table as a new version, visible once complete; returns its path.
+
+    The KEPT_VERSIONS last ones stay, for readers of an earlier one and for a table that is
+    derived from the one before it.
+    """
+    spark, root = df.sparkSession, table_path(base, name)
+    done = versions(spark, base, name)
+    path = f"{root}/version={max(done, default=0) + 1}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in done[: 1 - KEPT_VERSIONS]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"version={old}"), True)
     return path
 
 
+def read_version(spark: SparkSession, base: str, name: str, schema) -> DataFrame:
+    """The latest complete version of a table, empty at first."""
+    done = versions(spark, base, name)
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{table_path(base, name)}/version={done[-1]}")
+
+
+def write_rates(rates: DataFrame, base: str) -> str:
+    """Rebuild the rates table as a new version, rows clustered by their keys so that readers can skip."""
+    return write_version(rates.sortWithinPartitions("zoneid", "target_month", "target_hour", "traffic"), base, "rates")
+
+
 def read_rates(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(schemas.RATES).parquet(table_path(base, "rates"))
+    return read_version(spark, base, "rates", schemas.RATES)
 
 
 def write_mapping(mapping: DataFrame, base: str, name: str) -> str:
@@ -91,39 +122,18 @@ def write_mapping(mapping: DataFrame, base: str, name: str) -> str:
     return path
 
 
-def write_registry(registry: DataFrame, base: str) -> int:
-    """Store the registry as a new version, visible once complete; returns its number.
+def write_registry(registry: DataFrame, base: str) -> str:
+    """Store the registry as a new version."""
+    return write_version(registry.select(*schemas.FILE_REGISTRY.fieldNames()), base, "registry")
 
-    Earlier versions stay in place, so a registry can be derived from the one before it.
-    """
-    spark = registry.sparkSession
-    version = (latest_version(spark, base) or 0) + 1
-    registry.select(*schemas.FILE_REGISTRY.fieldNames()).write.parquet(
-        f"{table_path(base, 'registry')}/version={version}"
-    )
-    return version
 
-
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest version with committed files; a write under way shows none. Lists names only."""
-    try:
-        stored = spark.read.schema(schemas.FILE_REGISTRY).parquet(table_path(base, "registry"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    found = [re.search(r"/version=(\d+)/", name) for name in stored.inputFiles()]
-    return max((int(m.group(1)) for m in found if m), default=None)
+def latest_version(spark: SparkSession, base: str, name: str = "registry") -> int | None:
+    return max(versions(spark, base, name), default=None)
 
 
 def read_registry(spark: SparkSession, base: str) -> DataFrame:
     """The latest complete registry, empty at first."""
-    version = latest_version(spark, base)
-    if version is None:
-        return spark.createDataFrame([], schemas.FILE_REGISTRY)
-    return spark.read.schema(schemas.FILE_REGISTRY).parquet(
-        f"{table_path(base, 'registry')}/version={version}"
-    )
+    return read_version(spark, base, "registry", schemas.FILE_REGISTRY)
 
 
 def read_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:

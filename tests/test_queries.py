@@ -20,6 +20,7 @@ EAGER = {
     "stream_ingest",
     "place_coordinates",
     "batch_rates",
+    "reload_states",
 }
 
 

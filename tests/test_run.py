@@ -211,3 +211,18 @@ def test_only_moved_sources_leave_the_staging_table(spark, tmp_path):
     ids = sources()
     tables.drop_sources(spark, base, ids[:1], (tables.GEO_TABLE,))
     assert len(ids) == 2 and sources() == ids[1:]
+
+
+def test_readers_of_earlier_rates_survive_a_refresh(spark, tmp_path):
+    base = str(tmp_path / "base")
+    rates = spark.createDataFrame([(z, 1, 1, 1, 1.0, 0, 0, 0) for z in range(5)], RATES)
+    assert tables.read_rates(spark, base).count() == 0
+    tables.write_rates(rates, base)
+    held = tables.read_rates(spark, base)
+    tables.write_rates(rates.filter("zoneid < 2"), base)
+    assert (held.count(), tables.read_rates(spark, base).count()) == (5, 2)
+    (tmp_path / "base" / "rates" / "version=3").mkdir()  # of a write that broke off
+    assert tables.latest_version(spark, base, "rates") == 2
+    for _ in range(3):
+        tables.write_rates(rates, base)
+    assert tables.versions(spark, base, "rates") == [3, 4, 5]
