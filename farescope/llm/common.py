@@ -7,14 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 
 from farescope.session import shared_dir
 
 # Bytes of text that one vectorised step looks at; a longer text is a step of its own.
 BLOCK_BYTES = 4 << 20
-# Bytes that one running sum covers; a longer word is a sum of its own.
-SUM_BYTES = 1 << 18
+# Bytes of a word that are hashed eight at a time.
+LONG_WORD = 64
 ODD = 0x9E3779B97F4A7C15
 
 
@@ -64,48 +65,45 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class WordHasher:
-    """64-bit hashes of the words of whole blocks of text, A-Z as a-z.
+    """64-bit hashes of the words of whole blocks of text, A-Z as a-z unless ``fold`` is off.
 
-    A word's hash is a polynomial of its bytes, read off running sums, and finalised.
+    A word is read eight bytes at a time, each eight mixed into what came before, so that no
+    sum or product of letters can cancel out; words over LONG_WORD bytes are hashed by xxh3.
     """
 
-    def __init__(self, word_bytes: np.ndarray):
+    def __init__(self, word_bytes: np.ndarray, fold: bool = True):
         self.is_word = word_bytes
-        self.value = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.value[65:91] = self.value[97:123]
-        self._powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
-
-    def _tables(self, n: int):
-        if len(self._powers[0]) < n:
-            base = np.uint64(ODD)
-            inverse = np.uint64(pow(ODD, -1, 1 << 64))
-            tables = []
-            for b in (base, inverse):
-                t = np.full(max(n, SUM_BYTES + 1), b, np.uint64)
-                t[0] = 1
-                tables.append(np.multiply.accumulate(t))
-            self._powers = tuple(tables)
-        return self._powers
+        self.fold = np.arange(256, dtype=np.uint8)
+        if fold:
+            self.fold[65:91] = self.fold[97:123]
+        self.masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
     def words(self, data: np.ndarray, offsets: np.ndarray):
         """(starts, ends, index of each row's first word) of the words in the block."""
         starts, ends = runs(self.is_word[data], offsets)
         return starts, ends, np.searchsorted(starts, offsets)
 
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        """The bytes as they are compared, with eight zeros behind them."""
+        out = np.zeros(len(data) + 8, np.uint8)
+        out[: len(data)] = self.fold[data]
+        return out
+
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        out = np.empty(len(starts), np.uint64)
-        i = 0
-        while i < len(starts):
-            base = starts[i]
-            j = max(i + 1, int(np.searchsorted(ends, base + SUM_BYTES, "right")))
-            part = data[base : ends[j - 1]]
-            power, inverse = self._tables(len(part) + 1)
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(self.value[part] * power[: len(part)], out=total[1:])
-            s, e = starts[i:j] - base, ends[i:j] - base
-            out[i:j] = (total[e] - total[s]) * inverse[s]
-            i = j
-        return mix(out + (ends - starts).astype(np.uint64))
+        plain = self.folded(data)
+        eights = np.ndarray((len(data) + 1,), "<u8", plain, 0, (1,))  # the eight bytes from each place
+        n = ends - starts
+        out = mix((eights[starts] & self.masks[np.minimum(n, 8)]) + n.astype(np.uint64) * np.uint64(ODD))
+        rest = np.flatnonzero(n > 8)
+        for at in range(8, LONG_WORD, 8):
+            if not len(rest):
+                break
+            more = eights[starts[rest] + at] & self.masks[np.minimum(n[rest] - at, 8)]
+            out[rest] = mix(out[rest] * np.uint64(ODD) ^ more)
+            rest = rest[n[rest] > at + 8]
+        for i in rest:
+            out[i] = xxhash.xxh3_64_intdigest(plain[starts[i] : ends[i]])
+        return out
 
 
 def space_words() -> np.ndarray:

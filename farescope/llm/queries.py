@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, and SQL for those that SQL can express."""
+"""The operators over their whole tables, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -11,7 +11,21 @@ from pyspark.sql import functions as F
 
 from farescope.session import shared_dir
 
-from . import chat_format, decontam, exact_dedup, html_extract, mixing, ngram_join, quality, secret_scan, token_output, url_filter
+from . import (
+    chat_format,
+    decontam,
+    exact_dedup,
+    fill_middle,
+    html_extract,
+    lexical_search,
+    mixing,
+    ngram_join,
+    quality,
+    secret_scan,
+    substring_dedup,
+    token_output,
+    url_filter,
+)
 
 PROBE = "</s>[INST] ok [/INST]"
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -106,10 +120,33 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("matches")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries():
     own = (
         op1_chat_format, op2_exact_dedup, op3_url_filter, op4_secret_scan, op5_html_extract,
         op6_quality, op7_mixing, op8_token_output, op9_ngram_join, op10_decontam,
+        op11_fill_middle, op12_substring_dedup, op13_lexical_search,
     )
     return {f.__name__: f for f in own}
 
@@ -264,6 +301,63 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+SQL_OP11 = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents
+), placed AS (
+  SELECT doc_id, text, w, len(w)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50
+      THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT doc_id, text, n, form, array_to_string(w[1:least(a, b)], '') AS p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(w[greatest(a, b) + 1:n], '') AS s
+  FROM placed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+SQL_OP12 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, row_number() OVER () AS r FROM documents
+), windows AS (
+  SELECT r, doc_id, p, md5_number(array_to_string(w[p:p + 49], ' ')) AS h
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50)
+), first AS (SELECT h, min(doc_id) AS d FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT r, unnest(range(p, p + 50)) AS q FROM windows JOIN first USING (h) WHERE d < coalesce(doc_id, 9223372036854775807)
+), kept AS (
+  SELECT r, array_to_string(list(x ORDER BY q), ' ') AS text FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM words)
+  ANTI JOIN gone USING (r, q) GROUP BY r
+), removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL_OP13 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+size AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS length FROM docs WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tf, size GROUP BY t
+), asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+measured AS (SELECT r, doc_id, 100 - 90 + ((90 * len(w)::BIGINT * docs) // length) AS m FROM docs, size WHERE len(w) > 0),
+scored AS (
+  SELECT item_id, doc_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (t) JOIN weights USING (t) JOIN measured USING (r) GROUP BY item_id, doc_id, r
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0
+) WHERE rank <= 10
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -273,4 +367,7 @@ def all_oracles() -> dict[str, str]:
         "op7_mixing": SQL_OP7,
         "op9_ngram_join": SQL_OP9,
         "op10_decontam": SQL_OP10,
+        "op11_fill_middle": SQL_OP11,
+        "op12_substring_dedup": SQL_OP12,
+        "op13_lexical_search": SQL_OP13,
     }
