@@ -95,6 +95,26 @@ def text_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame
     return raw.select(*[F.col(c).cast("string").alias(TEXT_HEADERS[c]) for c in raw.columns])
 
 
+def write_monthly_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Text files with published names: a yellow one of zone trips and a green one of coordinate trips
+    for each January, and one for each February with the trips that start in the first minute of an hour.
+    """
+    for geo, provider in ((False, "yellow"), (True, "green")):
+        text = text_trips(spark, sf_dir, geo)
+        start = F.col(f"`{TEXT_HEADERS['pickup_datetime']}`").cast("timestamp_ntz")
+        month = F.when(F.minute(start) == 0, F.lit("-02")).otherwise(F.lit("-01"))
+        name = F.concat(F.lit(f"{provider}_tripdata_"), F.year(start).cast("string"), month, F.lit(".csv"))
+        parts = f"{folder}-{provider}"
+        named = text.withColumn("file", name).repartition("file")
+        named.write.option("header", True).partitionBy("file").csv(parts)
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path(folder))
+        for written in store.globStatus(path(parts, "file=*/part-*.csv")):  # one for each name
+            part = written.getPath()
+            store.rename(part, path(folder, part.getParent().getName()[len("file=") :]))
+
+
 def calendar(spark: SparkSession) -> DataFrame:
     return holiday_calendar(spark, LAST_CALENDAR_YEAR, FIRST_CALENDAR_YEAR)
 
@@ -201,6 +221,17 @@ def feet_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gid"), F.inline(entries))
 
 
+def in_feet(shapes: DataFrame) -> DataFrame:
+    """Shapes of the map moved to state-plane feet, as ``feet_vertices`` has them."""
+    feet = F.transform(
+        "edges",
+        lambda e: F.struct(
+            *[(F.round(e[c] * 1000) * 10 + (980_000 if c[0] == "x" else 190_000)).alias(c) for c in ("x1", "y1", "x2", "y2")]
+        ),
+    )
+    return shapes.withColumn("edges", feet)
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map request per customer; every tenth lies on a border of two zones."""
     c = F.col("c_custkey")
@@ -224,7 +255,12 @@ def event_trips(spark: SparkSession, sf_dir: str, sources: int) -> DataFrame:
 
 def event_registry(spark: SparkSession, sf_dir: str, sources: int) -> DataFrame:
     """The files of those rows, every third one already known complete."""
-    rows = event_trips(spark, sf_dir, sources).groupBy("sourceid").agg(F.count(F.lit(1)).alias("n"))
+    return registry_of(event_trips(spark, sf_dir, sources))
+
+
+def registry_of(trips: DataFrame) -> DataFrame:
+    """A file for each source of ``trips``, every third one already known complete."""
+    rows = trips.groupBy("sourceid").agg(F.count(F.lit(1)).alias("n"))
     return rows.select(
         F.col("sourceid").alias("id"),
         F.concat(F.lit("yellow_tripdata_"), F.col("sourceid").cast("string"), F.lit(".csv")).alias("filename"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -37,9 +38,6 @@ NEW_YORK_LONG_ISLAND_FEET = ConicProjection(
     unit_in_metres=0.3048006096012192,
 )
 
-_ROUNDS = 5  # latitude iteration; leaves less than 1e-12 degrees
-
-
 def cone_constants(p: ConicProjection) -> dict[str, float]:
     """e (eccentricity), n, F and rho0 of the projection."""
     flattening = 1.0 / p.inverse_flattening
@@ -58,21 +56,48 @@ def cone_constants(p: ConicProjection) -> dict[str, float]:
     return {"e": e, "n": n, "F": big_f, "rho0": p.semi_major * big_f * t(lat0) ** n}
 
 
+def latitude_series(e: float) -> list[float]:
+    """Coefficients a0, a1, ... of latitude = chi + sin(2 chi) (a0 + k (a1 + k (a2 + ...))), k = cos(2 chi).
+
+    chi is the conformal latitude. The series in the third flattening ends after its fifth
+    power, which leaves less than 1e-12 degrees on the Earth.
+    """
+    root = math.sqrt(1.0 - e * e)
+    n = (1.0 - root) / (1.0 + root)
+    # The published series of multiples of 2 chi.
+    d2 = 2 * n - 2 / 3 * n**2 - 2 * n**3 + 116 / 45 * n**4 + 26 / 45 * n**5
+    d4 = 7 / 3 * n**2 - 8 / 5 * n**3 - 227 / 45 * n**4 + 2704 / 315 * n**5
+    d6 = 56 / 15 * n**3 - 136 / 35 * n**4 - 1262 / 105 * n**5
+    d8 = 4279 / 630 * n**4 - 332 / 35 * n**5
+    d10 = 4174 / 315 * n**5
+    return [d2 - d6 + d10, 2 * d4 - 4 * d8, 4 * d6 - 12 * d10, 8 * d8, 16 * d10]
+
+
 def lcc_to_lonlat(
-    x: Column, y: Column, p: ConicProjection = NEW_YORK_LONG_ISLAND_FEET
+    x: Column,
+    y: Column,
+    p: ConicProjection = NEW_YORK_LONG_ISLAND_FEET,
+    once: Callable[[Column, Callable[[Column], Column]], Column] = lambda value, use: use(value),
 ) -> tuple[Column, Column]:
-    """(longitude, latitude) in degrees of projected coordinates, for a cone open to the north."""
+    """(longitude, latitude) in degrees of projected coordinates, for a cone open to the north.
+
+    The latitude is a closed series of the conformal latitude. ``once`` may bind a value that is
+    used several times, where Spark doesn't share equal parts of an expression by itself.
+    """
     c = cone_constants(p)
-    e, n = c["e"], c["n"]
+    n, series = c["n"], latitude_series(c["e"])
     east = (x - p.false_easting) * p.unit_in_metres
     north = F.lit(c["rho0"]) - (y - p.false_northing) * p.unit_in_metres
-    rho = F.sqrt(east * east + north * north)
-    t = F.pow(rho / (p.semi_major * c["F"]), F.lit(1.0 / n))
     lon = F.degrees(F.atan2(east, north) / n) + p.central_meridian
-    lat = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
-    for _ in range(_ROUNDS):
-        s = F.sin(lat) * e
-        lat = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(
-            t * F.pow((F.lit(1.0) - s) / (F.lit(1.0) + s), F.lit(e / 2))
-        )
-    return lon, F.degrees(lat)
+    t = F.pow(F.hypot(east, north) / (p.semi_major * c["F"]), F.lit(1.0 / n))
+
+    def latitude(chi: Column) -> Column:
+        def corrected(k: Column) -> Column:
+            total = F.lit(series[-1])
+            for a in reversed(series[:-1]):
+                total = total * k + F.lit(a)
+            return chi + F.sin(chi * 2) * total
+
+        return once(F.cos(chi * 2), corrected)
+
+    return lon, F.degrees(once(F.lit(math.pi / 2) - F.atan(t) * 2, latitude))

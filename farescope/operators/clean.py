@@ -54,13 +54,10 @@ def typed(df: DataFrame) -> DataFrame:
     return evaluate_once(df, *columns) if parsed else df.select(*columns)
 
 
-def completed(df: DataFrame) -> DataFrame:
-    """``typed`` columns with those that a file lacks as NULL, so that its rows are rejected."""
-    ends = schemas.GEO_ENDS if schemas.has_coordinates(df) else schemas.ZONE_ENDS
-    others = set(schemas.GEO_ENDS) | set(schemas.ZONE_ENDS)
-    wanted = [c for c in _RAW_TYPES if c not in others or c in ends]
-    known = {c.lower() for c in df.columns}
-    return df.withColumns({c: F.lit(None).cast(_RAW_TYPES[c]) for c in wanted if c.lower() not in known})
+def raw_columns(geo: bool) -> list[str]:
+    """The canonical columns of one variant's files, in order."""
+    others = schemas.ZONE_ENDS if geo else schemas.GEO_ENDS
+    return [c for c in _RAW_TYPES if c not in others]
 
 
 def _with_quotients(df: DataFrame) -> DataFrame:
@@ -106,7 +103,7 @@ def cleaning_rules(geo: bool, as_of_year: int | None = None) -> dict[str, Column
     return rules
 
 
-def _finish(df: DataFrame, geo: bool) -> DataFrame:
+def _finish(df: DataFrame, geo: bool, *extra: str) -> DataFrame:
     """Derived columns of rows that passed, in the stored order."""
     pickup = F.col("pickup_datetime")
     derived = df.withColumns(
@@ -121,7 +118,7 @@ def _finish(df: DataFrame, geo: bool) -> DataFrame:
     )
     names = (schemas.CLEAN_GEO if geo else schemas.CLEAN_ZONE).fieldNames()
     carried = [c for c in df.columns if c in _CARRIED]
-    return derived.select(*names, *carried)
+    return derived.select(*names, *carried, *extra)
 
 
 def _split(raw: DataFrame, as_of_year: int | None, odd_dates: bool) -> DataFrame:
@@ -133,6 +130,17 @@ def _split(raw: DataFrame, as_of_year: int | None, odd_dates: bool) -> DataFrame
     return _finish(_with_quotients(typed(raw)).filter(keep), geo)
 
 
+def sorted_trips(raw: DataFrame, as_of_year: int | None = None) -> DataFrame:
+    """Valid trips and those of the quarantine in one pass, told apart by column ``odd_date``."""
+    geo = schemas.has_coordinates(raw)
+    rules = cleaning_rules(geo, as_of_year)
+    odd = ~rules.pop(_ODD_DATE)
+    keep = F.lit(True)
+    for rule in rules.values():
+        keep = keep & rule
+    return _finish(_with_quotients(typed(raw)).filter(keep).withColumn(_ODD_DATE, odd), geo, _ODD_DATE)
+
+
 def clean_trips(raw: DataFrame, as_of_year: int | None = None) -> DataFrame:
     """Valid trips with derived measures, coordinate or zone variant by the columns present.
 

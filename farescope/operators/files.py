@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farescope import schemas
+from farescope.session import shared_dir
 
 # First published month per provider.
 FIRST_MONTHS = {"yellow": "2009-01-01", "green": "2013-01-01"}
@@ -188,3 +189,54 @@ def quick_completeness(
     return marked.withColumn(
         "islocked", F.when(F.col("_good"), F.lit(schemas.GOOD)).otherwise(F.col("islocked"))
     ).select(*registry.columns)
+
+
+def sequential_marks(counts: DataFrame, minimum: int = QUICK_MINIMUM, max_rounds: int | None = None) -> DataFrame:
+    """(sourceid, bucket): the window at which each source is marked good, one window after another.
+
+    From window 0 on, the largest source that isn't marked yet (the lowest id on ties) is marked
+    if it has over ``minimum`` rows there. What a window does depends on earlier windows only.
+    So all windows are done at once with the marks found so far, over and over: after k rounds
+    the first k windows are right for good, and marks that a round leaves as they are are the
+    sequential ones. That takes as many rounds as marks push each other along, not as there
+    are windows. Counts and marks are a row for each source of a window; each round is stored.
+    """
+    counts = _kept(counts.select("bucket", "sourceid", "n"))
+    largest = Window.partitionBy("bucket").orderBy(F.desc("n"), "sourceid")
+    marks = counts.select("sourceid", "bucket").where("false")
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
+        earlier = marks.select("sourceid", F.col("bucket").alias("_at"))
+        open_ = counts.join(earlier, "sourceid", "left").where("_at IS NULL OR _at >= bucket")
+        top = open_.withColumn("_rank", F.row_number().over(largest)).where(f"_rank = 1 AND n > {int(minimum)}")
+        fresh = _kept(top.groupBy("sourceid").agg(F.min("bucket").alias("bucket")))
+        known = marks.withColumn("_known", F.lit(True))
+        changed = fresh.withColumn("_found", F.lit(True)).join(known, ["sourceid", "bucket"], "full")
+        if changed.where("_known IS NULL OR _found IS NULL").isEmpty():
+            break
+        marks = fresh
+    return marks
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sequential_completeness(
+    trips: DataFrame,
+    registry: DataFrame,
+    window: int = WINDOW_IDS,
+    minimum: int = QUICK_MINIMUM,
+    id_col: str = "id",
+) -> DataFrame:
+    """The registry after the quick pass as it is run one window after another.
+
+    A source that is marked leaves the later windows, so that runners-up can win those.
+    """
+    marks = sequential_marks(window_counts(trips, registry, window, id_col), minimum)
+    good = marks.select(F.col("sourceid").alias("id"), F.lit(True).alias("_good"))
+    state = F.when(F.col("_good"), F.lit(schemas.GOOD)).otherwise(F.col("islocked"))
+    return registry.join(good, "id", "left").withColumn("islocked", state).select(*registry.columns)

@@ -79,13 +79,16 @@ def holiday_calendar(
     )
 
 
-def flag_holidays(trips: DataFrame, calendar: DataFrame, small: bool | None = None) -> DataFrame:
+def flag_holidays(
+    trips: DataFrame, calendar: DataFrame, small: bool | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Overlay the calendar: holiday trips get month 0, weekend flag -1, holiday flag 1.
 
     ``calendar`` needs a ``holiday_date`` column. It is made unique by date, so the
     left join never repeats a trip, and is broadcast once its size has been checked.
     ``small=True`` skips the check for a calendar made by ``holiday_calendar``, which
-    has at most some twenty rows per year. ``sourceid`` is kept, or NULL if absent.
+    has at most some twenty rows per year. ``sourceid`` is kept, or NULL if absent, and so
+    are the columns named by ``keep``.
     """
     days = calendar.select("holiday_date").filter("holiday_date IS NOT NULL").distinct()
     days = F.broadcast(days) if small else broadcast_if_small(days)
@@ -101,4 +104,4 @@ def flag_holidays(trips: DataFrame, calendar: DataFrame, small: bool | None = No
     stored = schemas.TRIPS_GEO if schemas.has_coordinates(trips) else schemas.TRIPS_ZONE
     if "sourceid" not in flagged.columns:
         flagged = flagged.withColumn("sourceid", F.lit(None).cast("long"))
-    return flagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields])
+    return flagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields], *keep)

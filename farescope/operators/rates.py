@@ -44,11 +44,12 @@ def era_predicates(mode: str) -> tuple[Column, Column]:
     return before, during
 
 
-def build_rates(trips: DataFrame, mode: str = "compat") -> DataFrame:
-    """The rates table from flagged trips of the zone variant.
+def rate_sums(trips: DataFrame, mode: str = "compat", *keys: str) -> DataFrame:
+    """Sums and counts of both eras by zone, month, hour, traffic and kind of day, and by ``keys``.
 
-    ``rate`` holds whole cents (two decimals by definition), so it is summed as an
-    integer: exact, independent of the order of rows, and cheap to combine map-side.
+    They add up: those of several sources are merged by ``rates_of_sums``. ``rate`` holds whole
+    cents (two decimals by definition), so it is summed as an integer: exact, independent of the
+    order of rows, and cheap to combine map-side.
     """
     before, during = era_predicates(mode)
     cents = F.round(F.col("rate") * 100).cast("long")
@@ -62,7 +63,8 @@ def build_rates(trips: DataFrame, mode: str = "compat") -> DataFrame:
     def trips_in(era: Column) -> Column:
         return F.count(F.when(era, cents))
 
-    grouped = trips.groupBy(
+    return trips.groupBy(
+        *keys,
         F.col("PULocationID").cast("int").alias("zoneid"),
         month.cast("int").alias("target_month"),
         F.col("pickup_hour").alias("target_hour"),
@@ -74,6 +76,9 @@ def build_rates(trips: DataFrame, mode: str = "compat") -> DataFrame:
         total(during).alias("c1"),
         trips_in(during).alias("n1"),
     )
+
+
+def _rates(grouped: DataFrame) -> DataFrame:
     eras = F.array(
         F.struct(F.lit(0).alias("iscovid"), F.col("c0").alias("cents"), F.col("n0").alias("n")),
         F.struct(F.lit(1).alias("iscovid"), F.col("c1").alias("cents"), F.col("n1").alias("n")),
@@ -94,6 +99,17 @@ def build_rates(trips: DataFrame, mode: str = "compat") -> DataFrame:
     return out.select(*schemas.RATES.fieldNames())
 
 
+def build_rates(trips: DataFrame, mode: str = "compat") -> DataFrame:
+    """The rates table from flagged trips of the zone variant."""
+    return _rates(rate_sums(trips, mode))
+
+
+def rates_of_sums(sums: DataFrame) -> DataFrame:
+    """The rates table from the sums of several sources."""
+    keys = ["zoneid", "target_month", "target_hour", "traffic", "isweekend"]
+    return _rates(sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("c0", "n0", "c1", "n1")]))
+
+
 def rate_slice(trips: DataFrame, name: str, mode: str = "compat") -> DataFrame:
     """One of the six slices; the slice predicate is pushed to the scan side."""
     isholiday, isweekend, iscovid = SLICES[name]

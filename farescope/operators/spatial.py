@@ -178,8 +178,8 @@ def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "e
 
 
 def index_fits(index: DataFrame) -> bool:
-    """Whether a stored index may be broadcast: its rows are plain numbers but for the spans, which are counted."""
-    return fits_broadcast(index, elements=F.size("spans"))
+    """Whether a stored index may be broadcast."""
+    return fits_broadcast(index)
 
 
 def _decides(p: str, x: str, y: str, boundary: str) -> str:
@@ -266,6 +266,22 @@ def geo_to_zone(
     return trips.select(*wanted.fieldNames(), *carried)
 
 
+def zones_of_trips(
+    trips: DataFrame,
+    index: DataFrame,
+    cell: float = DEFAULT_CELL,
+    boundary: str = "exclude",
+    small: bool | None = None,
+) -> DataFrame:
+    """Coordinate trips with PULocationID and DOLocationID, NULL where an end is off the map."""
+    small = index_fits(index) if small is None else small
+    for point, zone in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
+        trips = join_zones(
+            trips, index, f"{point}_longitude", f"{point}_latitude", zone, cell, boundary, "left", small
+        )
+    return trips
+
+
 def geo_unmatched(
     trips: DataFrame,
     index: DataFrame,

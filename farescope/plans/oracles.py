@@ -269,6 +269,41 @@ counts AS (SELECT bucket, sourceid, count(*) AS n FROM etrips, wins
   WHERE etrips.id BETWEEN lo AND hi AND sourceid IN (SELECT id FROM ereg WHERE islocked = 1)
   GROUP BY bucket, sourceid)"""
 
+
+
+def _sequential(minimum: int) -> str:
+    """(marked): the sources that windows mark one after another, from ``counts``."""
+    return f"""ranked AS (SELECT bucket, list({{'n': n, 's': sourceid}} ORDER BY n DESC, sourceid) AS l FROM counts GROUP BY bucket),
+steps_of AS (SELECT k, l FROM (SELECT unnest(generate_series(0, (SELECT max(bucket) FROM counts))) AS k) g LEFT JOIN ranked ON bucket = k),
+seq(k, marked) AS (
+  SELECT 0::BIGINT, []::BIGINT[]
+  UNION ALL SELECT k + 1, CASE WHEN t.n > {minimum} THEN list_append(marked, t.s) ELSE marked END
+  FROM (SELECT s.k, s.marked, list_filter(o.l, lambda x: NOT list_contains(s.marked, x.s))[1] AS t
+    FROM seq s JOIN steps_of o ON o.k = s.k) q),
+marked AS (SELECT unnest(marked) AS id FROM (SELECT marked FROM seq ORDER BY k DESC LIMIT 1) m)"""
+
+
+# A trip table loaded in three steps: ids go on, and the third step's replace those of the second.
+_LEDGER = """loads AS (
+  SELECT CASE WHEN sourceid > 12 THEN 0 ELSE 1 END AS phase, sourceid, n
+  FROM (SELECT cast(PULocationID AS bigint) AS sourceid, count(*) AS n FROM trips GROUP BY 1) c
+  UNION ALL SELECT 2, cast(PULocationID AS bigint), count(*) FROM trips WHERE PULocationID <= 5 GROUP BY 2),
+ledger AS (
+  SELECT sourceid, n, last_id, last_id - n + 1 AS first_id FROM (
+    SELECT *, cast(sum(n) OVER (ORDER BY phase, sourceid) AS bigint) AS last_id,
+      row_number() OVER (PARTITION BY sourceid ORDER BY phase DESC) AS rn FROM loads) l WHERE rn = 1)"""
+
+_TRIP_WINDOWS = f"""ereg AS (SELECT sourceid AS id, 'yellow_tripdata_' || sourceid || '.csv' AS filename,
+    cast(CASE WHEN sourceid % 3 = 0 THEN 2 ELSE 1 END AS integer) AS islocked FROM ledger),
+last AS (SELECT max(last_id) AS last FROM ledger),
+wins AS (SELECT k AS bucket, last - (k + 1) * {R.TRIP_WINDOW} AS lo, last - k * {R.TRIP_WINDOW} AS hi
+  FROM last, (SELECT unnest(generate_series(0, (SELECT last // {R.TRIP_WINDOW} + 1 FROM last))) AS k) s),
+counts AS (SELECT bucket, sourceid, least(hi, last_id) - greatest(lo, first_id) + 1 AS n FROM ledger, wins
+  WHERE least(hi, last_id) >= greatest(lo, first_id) AND sourceid IN (SELECT id FROM ereg WHERE islocked = 1))"""
+
+_MARKED_REGISTRY = """SELECT id, filename, cast(CASE WHEN id IN (SELECT id FROM marked) THEN 2 ELSE islocked END AS integer) AS islocked
+  FROM ereg"""
+
 # Inverse Lambert conformal conic, the latitude refined step by step in a recursive table.
 _LCC = """par AS (SELECT sqrt(f*(2e0-f)) AS e, radians(40e0+2e0/3e0) AS p1, radians(41e0+1e0/30e0) AS p2,
     radians(40e0+1e0/6e0) AS p0 FROM (SELECT 1e0/298.257222101e0 AS f) q),
@@ -298,6 +333,28 @@ FEET = (
     + ")",
 )
 
+
+
+def _degrees(*layers: tuple[str, str, list[tuple[str, str]], bool]) -> tuple[str, ...]:
+    """Edges (gid, x1, y1, x2, y2) in degrees, table ``deg``, of shapes given in thousandths."""
+    rows = []
+    for name, source, corners, closed in layers:
+        ring = corners + corners[:1] if closed else corners
+        rows += [
+            f"SELECT {name} AS gid, {i} AS seq, cast(({x})*10+980000 AS double) AS x, cast(({y})*10+190000 AS double) AS y FROM {source}"
+            for i, (x, y) in enumerate(ring)
+        ]
+    return (
+        "feet AS (" + " UNION ALL ".join(rows) + ")",
+        _LCC,
+        "spot AS (SELECT gid, seq, degrees(atan2(ea, no)/n) - 74e0 AS x, degrees(lat) AS y FROM steps WHERE i = 8)",
+        "deg AS (SELECT a.gid, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM spot a JOIN spot b ON b.gid = a.gid AND b.seq = a.seq + 1)",
+    )
+
+
+_ZONE_RING = [("x", "y"), ("x+1000", "y"), ("x+1000", "y+1000"), ("x+500", "y+600"), ("x", "y+1000")]
+_TRACT_RING = [("x", "y"), ("x+700", "y"), ("x+700", "y+700"), ("x", "y+700")]
+
 # Common area of two polygons: signed integrals of the lower edge over shared x ranges.
 _OVERLAP = """pairs AS (SELECT t.shape AS gid, z.shape AS zone_id,
     sign(t.x1 - t.x2) * sign(z.x1 - z.x2) AS s,
@@ -515,6 +572,65 @@ def all_oracles() -> dict[str, str]:
         ),
         _all_slices(source="everything"),
     )
+    out["quick_sequential"] = _select(
+        (*_events(R.EVENT_SOURCES), _WINDOWS, _sequential(R.EVENT_QUICK_MINIMUM)), _MARKED_REGISTRY
+    )
+    out["trip_row_ids"] = _select(
+        (*TRIPS, _LEDGER), "SELECT sourceid, first_id, last_id, n AS trips, n AS ids FROM ledger"
+    )
+    out["quick_completeness_trips"] = _select(
+        (*TRIPS, _LEDGER, _TRIP_WINDOWS, _sequential(R.TRIP_QUICK_MINIMUM)), _MARKED_REGISTRY
+    )
+    out["quarantine_tables"] = _select(
+        (RAW, _clean(f"{_ODD} AND PULocationID > 0"), CALENDAR, FLAGGED),
+        f"""SELECT 'tripdata_odddate' AS variant, {stored} FROM trips
+  UNION ALL BY NAME SELECT 'tripdata_geo_odddate' AS variant, {geo_columns}, isholiday FROM trips""",
+    )
+    out["incremental_rates"] = _select(TRIPS, _all_slices())
+    looked_for = f"m BETWEEN DATE '{R.REFRESH_FROM}' AND DATE '{R.REFRESH_THROUGH}'"
+    month = "make_date(year(pickup_datetime), CASE WHEN minute(pickup_datetime) = 0 THEN 2 ELSE 1 END, 1)"
+    out["refresh_run"] = _select(
+        (
+            *GEO_TRIPS,
+            ZONE_EDGES,
+            *GEO_MATCH,
+            f"""lines AS (SELECT 'yellow' AS provider, {month} AS m FROM raw UNION ALL SELECT 'green', {month} FROM raw),
+named AS (SELECT DISTINCT provider, m, provider || '_tripdata_' || strftime(m, '%Y-%m') || '.csv' AS filename FROM lines WHERE {looked_for}),
+kept AS (SELECT 'yellow' AS provider, {month} AS m, count(*) AS n FROM trips GROUP BY ALL
+  UNION ALL SELECT 'green', {month}, count(*) FROM placed GROUP BY ALL)""",
+        ),
+        f"""SELECT filename, CASE WHEN filename <> 'yellow_tripdata_2016-01.csv' THEN 'checked' END AS state,
+  cast(CASE WHEN filename = 'yellow_tripdata_2016-01.csv' OR coalesce(n, 0) >= {R.REFRESH_MINIMUM} THEN 2 ELSE 0 END AS integer) AS islocked,
+  CASE WHEN filename = 'yellow_tripdata_2016-01.csv' THEN 0 ELSE coalesce(n, 0) END AS trips
+  FROM named LEFT JOIN kept USING (provider, m)""",
+    )
+    out["last_header"] = out["clean_trips"]
+    out["reproject_shapes"] = _select(
+        (FEET[0], *_degrees(("gid", "tn", _TRACT_RING, True))),
+        f"SELECT gid, {', '.join(f'round({c}, 8) AS {c}' for c in ('x1', 'y1', 'x2', 'y2'))} FROM deg",
+    )
+    out["map_refresh"] = _select(
+        (
+            ZONE_EDGES.split(",\nze AS")[0],
+            FEET[0],
+            "sn AS (SELECT try_cast(substr(s_name, 10) AS integer) AS segmentid, (s_suppkey*37) % 43 * 100 + 13 AS x, "
+            "(s_suppkey*53) % 41 * 100 + 17 AS y FROM supplier)",
+            *_degrees(
+                ("'z' || zone_id", "zn", _ZONE_RING, True),
+                ("'t' || gid", "tn", _TRACT_RING, True),
+                ("'s' || segmentid", "sn", [("x", "y"), ("x+700", "y+700")], False),
+            ),
+            "ze AS (SELECT cast(gid[2:] AS integer) AS shape, x1, y1, x2, y2 FROM deg WHERE gid[1:1] = 'z')",
+            "te AS (SELECT cast(gid[2:] AS bigint) AS shape, x1, y1, x2, y2 FROM deg WHERE gid[1:1] = 't' UNION ALL "
+            "SELECT -1, x1, y1, x2, y2 FROM ze JOIN zn ON zone_id = shape WHERE zone = 'NATION_13')",
+            "seg AS (SELECT cast(gid[2:] AS integer) AS segmentid, x1, y1, x2, y2 FROM deg WHERE gid[1:1] = 's')",
+            _inside("starts", "SELECT segmentid AS id, x1 AS x, y1 AS y FROM seg", include=True),
+            _OVERLAP,
+        ),
+        f"""SELECT 'segments' AS layer, cast(segmentid AS bigint) AS id, zone_id, cast(NULL AS double) AS overlap
+  FROM (SELECT s.segmentid, z.shape AS zone_id FROM seg s, ze z WHERE {_MEET} UNION SELECT id, zone_id FROM starts) m
+  UNION ALL SELECT 'tracts', c.gid, c.zone_id, round(c.a / t.a, 6) FROM common c JOIN areas t ON t.gid = c.gid WHERE c.a / t.a > 0.5""",
+    )
     maps = {n: out[n] for n in ("segment_zone_map", "tract_zone_map")}
     out["stored_mappings"] = (
         f"SELECT 'segments' AS layer, cast(segmentid AS bigint) AS id, zone_id, cast(NULL AS double) AS overlap "

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farescope import bridge as B
+from farescope import schemas
 from farescope.functions import measures as M
 from farescope.functions.names import sanitize_columns, unify_columns
 from farescope.operators import clean, files, lookup, overlay, rates, spatial
@@ -22,6 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_WINDOW, EVENT_QUICK_MINIMUM, EVENT_SOURCES = 1_000, 150, 7
 STATE_SOURCES, STATE_MINIMUM = 97, 100
+TRIP_WINDOW, TRIP_QUICK_MINIMUM = 200, 120
+# The batch run of ``refresh_run``: months looked for, and rows that a complete file has.
+REFRESH_FROM, REFRESH_THROUGH, REFRESH_MINIMUM = "2015-01-01", "2020-12-01", 1_000
 
 
 def clean_trips(spark, sf):
@@ -104,6 +108,30 @@ def reproject_vertices(spark, sf):
     return done.select("gid", "seq", F.round("x", 8).alias("lon"), F.round("y", 8).alias("lat"))
 
 
+def reproject_shapes(spark, sf):
+    """The edges of whole shapes, from feet to degrees."""
+    done = geometry.reproject_shapes(B.in_feet(B.tracts(spark, sf)))
+    edges = done.select("gid", F.inline("edges"))
+    return edges.select("gid", *[F.round(c, 8).alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
+def map_refresh(spark, sf):
+    """Layers in feet through the whole map step, an area added: both mappings as stored."""
+    base = shared_dir(spark)
+    area = {"gid": -1, "boroname": "Outside", "ntaname": "Added Airport", "ntacode": "XX01"}
+    segments = geometry.reproject_shapes(B.in_feet(B.segments(spark, sf)))
+    refresh.refresh_maps(
+        spark, base, B.in_feet(B.zones(spark, sf)), B.in_feet(B.tracts(spark, sf)), segments, ("NATION_13", area)
+    )
+    streets = tables.read_version(spark, base, "segment_zones", "segmentid int, zone_id int")
+    tracts = tables.read_version(spark, base, "tract_zones", "gid bigint, zone_id int, overlap double")
+    return streets.select(
+        F.lit("segments").alias("layer"), F.col("segmentid").cast("long").alias("id"), "zone_id", F.lit(None).cast("double").alias("overlap")
+    ).unionByName(
+        tracts.select(F.lit("tracts").alias("layer"), F.col("gid").alias("id"), "zone_id", F.round("overlap", 6).alias("overlap"))
+    )
+
+
 def polygon_area(spark, sf):
     layers = (
         B.zones(spark, sf)
@@ -137,9 +165,11 @@ def point_zone_or_default(spark, sf):
 
 
 def rate_lookup(spark, sf):
-    """Requests against the stored rates table."""
+    """Requests against the stored curves."""
+    base = shared_dir(spark)
+    tables.write_curves(lookup.rate_curves(rates_table(spark, sf)), base)
     return lookup.lookup_rates(
-        B.requests(spark, sf), stored_rates(spark, sf), B.zone_index(spark, sf, "include"), B.CELL
+        B.requests(spark, sf), tables.read_curves(spark, base), B.zone_index(spark, sf, "include"), B.CELL
     )
 
 
@@ -209,6 +239,48 @@ def quick_top_source(spark, sf):
     )
 
 
+def quick_sequential(spark, sf):
+    """The quick pass one window after another: a marked source leaves the later windows."""
+    done = files.sequential_completeness(
+        B.event_trips(spark, sf, EVENT_SOURCES),
+        B.event_registry(spark, sf, EVENT_SOURCES),
+        EVENT_WINDOW,
+        EVENT_QUICK_MINIMUM,
+    )
+    return done.select("id", "filename", "islocked")
+
+
+def _numbered_trips(spark, sf):
+    """A trip table loaded in three steps, the last of which replaces some sources."""
+    base = shared_dir(spark)
+    trips = B.trips(spark, sf).withColumn("sourceid", F.col("PULocationID").cast("long"))
+    for part in ("sourceid > 12", "sourceid <= 12", "sourceid <= 5"):
+        tables.append_trips(trips.where(part), base, rebalance=True)
+    return tables.read_trips(spark, base, ids=True)
+
+
+def trip_row_ids(spark, sf):
+    """The ids of stored trips: dense within each source, and never given out twice."""
+    return (
+        _numbered_trips(spark, sf)
+        .groupBy("sourceid")
+        .agg(
+            F.min("id").alias("first_id"),
+            F.max("id").alias("last_id"),
+            F.count("id").alias("trips"),
+            F.countDistinct("id").alias("ids"),
+        )
+    )
+
+
+def quick_completeness_trips(spark, sf):
+    """The sequential quick pass over the library's own trip table."""
+    trips = _numbered_trips(spark, sf)
+    registry = B.registry_of(trips.select("sourceid"))
+    done = files.sequential_completeness(trips, registry, TRIP_WINDOW, TRIP_QUICK_MINIMUM)
+    return done.select("id", "filename", "islocked")
+
+
 def file_state(spark, sf):
     done = files.file_state(
         B.event_registry(spark, sf, STATE_SOURCES), B.event_trips(spark, sf, STATE_SOURCES), STATE_MINIMUM
@@ -222,6 +294,58 @@ def _write_text_files(spark, sf, geo=False):
     return folder
 
 
+def last_header(spark, sf):
+    """Text columns whose last header alone has stray characters, cleaned."""
+    raw = B.text_trips(spark, sf)
+    names = [c.strip() for c in raw.columns]
+    raw = unify_columns(sanitize_columns(raw.toDF(*names[:-1], f"{names[-1]}\r\n x"), last_only=True))
+    return clean.clean_trips(raw, B.AS_OF_YEAR)
+
+
+def quarantine_tables(spark, sf):
+    """Files of both variants loaded with an early last year: what the quarantine tables hold."""
+    base, incoming = shared_dir(spark), shared_dir(spark)
+    for geo in (False, True):
+        B.text_trips(spark, sf, geo).write.option("header", True).mode("append").csv(incoming)
+    paths = [row.path for row in list_trip_files(spark, incoming).select("path").collect()]
+    refresh.load_files(spark, paths, base, B.calendar(spark), B.AS_OF_YEAR - 1)
+    return _by_variant(spark, base, tables.ODD_ZONE_TABLE, tables.ODD_GEO_TABLE).drop("sourceid")
+
+
+def incremental_rates(spark, sf):
+    """Rates refreshed source by source: new ones, then replaced ones; older sums are kept."""
+    base = shared_dir(spark)
+    trips = B.trips(spark, sf).withColumn("sourceid", F.col("DOLocationID").cast("long"))
+    for part in ("sourceid > 9", "sourceid <= 9", "sourceid in (3, 17)"):
+        tables.append_trips(trips.where(part), base, rebalance=True)
+        refresh.refresh_rates(spark, base)
+    return tables.read_rates(spark, base)
+
+
+def refresh_run(spark, sf):
+    """The task finder and all that follows: claims, states and stored trips of each file.
+
+    A file a year and variant, with a small one for trips that start in the first minute of an
+    hour; one file is known complete, and those after the last month aren't looked for.
+    """
+    base, incoming = shared_dir(spark), shared_dir(spark)
+    B.write_monthly_files(spark, sf, incoming)
+    done = spark.createDataFrame([(1, "yellow_tripdata_2016-01.csv", None, schemas.GOOD)], schemas.FILE_REGISTRY)
+    tables.write_registry(done, base)
+    known = files.providers(spark).withColumn("first_month", F.lit(REFRESH_FROM).cast("date"))
+    claims = refresh.run_refresh(
+        spark, incoming, base, B.zone_index(spark, sf), B.calendar(spark), known, REFRESH_THROUGH, B.CELL,
+        B.AS_OF_YEAR, minimum=REFRESH_MINIMUM, files_per_load=5,
+    )
+    states = tables.read_registry(spark, base).select("id", "filename", "islocked")
+    counts = tables.read_trips(spark, base).groupBy(F.col("sourceid").alias("id")).agg(F.count(F.lit(1)).alias("trips"))
+    return (
+        states.join(claims.select("filename", "state"), "filename", "left")
+        .join(counts, "id", "left")
+        .select("filename", "state", "islocked", F.coalesce("trips", F.lit(0)).alias("trips"))
+    )
+
+
 def csv_ingest(spark, sf):
     """Trips written as CSV files, found, read by dialect and cleaned."""
     folder = _write_text_files(spark, sf)
@@ -337,6 +461,8 @@ def all_queries() -> dict[str, Query]:
         "zone_edges": zone_edges,
         "vertex_edges": vertex_edges,
         "reproject_vertices": reproject_vertices,
+        "reproject_shapes": reproject_shapes,
+        "map_refresh": map_refresh,
         "polygon_area": polygon_area,
         "geo_to_zone": geo_to_zone,
         "geo_unmatched": geo_unmatched,
@@ -354,6 +480,13 @@ def all_queries() -> dict[str, Query]:
         "quick_completeness": quick_completeness,
         "quick_top_source": quick_top_source,
         "file_state": file_state,
+        "quick_sequential": quick_sequential,
+        "trip_row_ids": trip_row_ids,
+        "quick_completeness_trips": quick_completeness_trips,
+        "last_header": last_header,
+        "quarantine_tables": quarantine_tables,
+        "incremental_rates": incremental_rates,
+        "refresh_run": refresh_run,
         "csv_ingest": csv_ingest,
         "trip_table": trip_table,
         "stored_rates": stored_rates,

@@ -49,6 +49,22 @@ CLEAN_GEO = _struct(_MOMENTS, _GEO_ENDS, _MEASURES, _FLAGS[1:2])
 TRIPS_ZONE = _struct(_MOMENTS, _ZONE_ENDS, _MEASURES, _FLAGS)
 TRIPS_GEO = _struct(_MOMENTS, _GEO_ENDS, _MEASURES, _FLAGS)
 
+# All columns of both variants: what one write of several trip tables holds.
+TRIPS_ALL = _struct(_MOMENTS, _ZONE_ENDS, _GEO_ENDS, _MEASURES, _FLAGS)
+
+# Which files of which generation of a source make up a trip table, and the ids of their rows.
+# A row without a file holds the last id that its table has given out.
+MANIFEST = _struct(
+    [
+        ("table", T.StringType()),
+        ("sourceid", T.LongType()),
+        ("gen", T.StringType()),
+        ("file", T.StringType()),
+        ("n_rows", T.LongType()),
+        ("last_id", T.LongType()),
+    ]
+)
+
 RATES = _struct(
     [
         ("zoneid", T.IntegerType()),
@@ -62,6 +78,37 @@ RATES = _struct(
     ]
 )
 
+# Sums of cents and counts of trips of a source's generation, before (0) and during (1) restrictions.
+RATE_SUMS = _struct(
+    [
+        ("sourceid", T.LongType()),
+        ("gen", T.StringType()),
+        ("zoneid", T.IntegerType()),
+        ("target_month", T.IntegerType()),
+        ("target_hour", T.IntegerType()),
+        ("traffic", T.IntegerType()),
+        ("isweekend", T.IntegerType()),
+        ("c0", T.LongType()),
+        ("n0", T.LongType()),
+        ("c1", T.LongType()),
+        ("n1", T.LongType()),
+    ]
+)
+
+CLAIMS = _struct([("filename", T.StringType()), ("path", T.StringType()), ("state", T.StringType())])
+
+# Rates as requests ask for them: sums and counts for each hour of three series, 72 entries.
+CURVES = _struct(
+    [
+        ("zone_id", T.IntegerType()),
+        ("traffic", T.IntegerType()),
+        ("covid", T.IntegerType()),
+        ("month", T.IntegerType()),
+        ("totals", T.ArrayType(T.DoubleType())),
+        ("counts", T.ArrayType(T.LongType())),
+    ]
+)
+
 FILE_REGISTRY = _struct(
     [
         ("id", T.LongType()),

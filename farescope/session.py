@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension side may have before it is shuffled instead of broadcast, and
-# the number of nested elements (polygon edges, for instance) it may carry in all.
-BROADCAST_ROWS = 500_000
-BROADCAST_ELEMENTS = 2_000_000
+# Bytes of column values that a side may have before it is shuffled instead of broadcast. The
+# hash table that executors build of it takes some three times as much.
+BROADCAST_BYTES = 48 << 20
+_ROW_BYTES = 16  # what a row takes besides its values
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -38,20 +40,37 @@ def build_session(app_name: str = "farescope", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def fits_broadcast(
-    df: DataFrame,
-    max_rows: int = BROADCAST_ROWS,
-    elements=None,
-    max_elements: int = BROADCAST_ELEMENTS,
-) -> bool:
+def _bytes(column: Column, kind: T.DataType) -> Column | int:
+    """Bytes of a column's values: a number for fixed types, else a column to be summed."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, T.StructType):
+        return _total([_bytes(column[f.name], f.dataType) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        each = _bytes(F.lit(None).cast(kind.elementType), kind.elementType)
+        if isinstance(each, int):
+            return F.greatest(F.size(column), F.lit(0)) * each + 8
+        return F.octet_length(F.to_json(F.struct(column)))
+    if isinstance(kind, T.MapType):
+        return F.octet_length(F.to_json(F.struct(column)))
+    return 8
+
+
+def _total(parts: list) -> Column | int:
+    fixed = sum(p for p in parts if isinstance(p, int))
+    varying = [p for p in parts if not isinstance(p, int)]
+    return reduce(lambda x, y: x + y, varying, F.lit(fixed)) if varying else fixed
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when ``df`` is small enough to copy to every executor.
 
-    One aggregate row comes back to the driver; ``elements`` is a column whose sum
-    stands for the nested payload, such as ``size(edges)``.
+    One aggregate row comes back to the driver: the bytes of all values, nested ones included.
     """
-    weight = F.lit(0) if elements is None else elements
-    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
-    return rows <= max_rows and total <= max_elements
+    width = _total([_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    width = F.lit(width) if isinstance(width, int) else width
+    found = df.agg(F.coalesce(F.sum((width + _ROW_BYTES).cast("bigint")), F.lit(0))).first()[0]
+    return found <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, **limits) -> DataFrame:

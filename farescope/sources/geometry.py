@@ -75,9 +75,12 @@ def reproject_shapes(
 ) -> DataFrame:
     """The same for the edges of whole shapes."""
 
+    def once(value: Column, use) -> Column:
+        return F.element_at(F.transform(F.array(value), use), 1)
+
     def degrees(e: Column) -> Column:
-        lon1, lat1 = lcc_to_lonlat(e.x1, e.y1, params)
-        lon2, lat2 = lcc_to_lonlat(e.x2, e.y2, params)
+        lon1, lat1 = lcc_to_lonlat(e.x1, e.y1, params, once)
+        lon2, lat2 = lcc_to_lonlat(e.x2, e.y2, params, once)
         return F.struct(lon1.alias("x1"), lat1.alias("y1"), lon2.alias("x2"), lat2.alias("y2"))
 
     return shapes.withColumn("edges", F.transform("edges", degrees))

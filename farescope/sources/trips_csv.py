@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from farescope import schemas
-from farescope.functions.names import sanitize_columns, unify_columns
-from farescope.operators.clean import completed, typed
+from farescope.functions.names import canonical_name, sanitize_columns, sanitize_name, unify_columns
+from farescope.operators.clean import raw_columns, typed
+from farescope.session import broadcast_if_small
+
 
 _HEADER_READERS = 16
+HEADER_BYTES = 1 << 16
 
 
 def _reader(spark: SparkSession, multiline: bool):
@@ -27,6 +30,11 @@ def _reader(spark: SparkSession, multiline: bool):
     )
 
 
+def _file_name(name: str) -> Column:
+    """A file name as the registry has it: percent-decoded, in lower case."""
+    return F.lower(F.expr(f"coalesce(try_url_decode(replace({name}, '+', '%2B')), {name})"))
+
+
 def read_trips_csv(
     spark: SparkSession, path, multiline: bool = False, with_file: bool = False
 ) -> DataFrame:
@@ -38,24 +46,106 @@ def read_trips_csv(
     """
     raw = _reader(spark, multiline).csv(path)
     if with_file:
-        name = "_metadata.file_name"  # percent-encoded, unlike the names in the registry
-        plain = f"coalesce(try_url_decode(replace({name}, '+', '%2B')), {name})"
-        raw = raw.select("*", F.lower(F.expr(plain)).alias("filename"))
+        raw = raw.select("*", _file_name("_metadata.file_name").alias("filename"))
     return unify_columns(sanitize_columns(raw))
 
 
-def header_groups(spark: SparkSession, paths: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header line. Reads the first line of each file only, several at a time."""
-    paths = sorted(paths)
+def _addresses(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
+    """Paths as Spark's readers write them: with the store's name, percent-encoded."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    stores, out = {}, {}
+    for p in paths:
+        folder = _folder(p)
+        if folder not in stores:
+            stores[folder] = path(folder).getFileSystem(conf)
+        out[p] = re.sub("^file:/+", "file:/", stores[folder].makeQualified(path(p)).toUri().toString())
+    return out
+
+
+def _folder(path: str) -> str:
+    return path.rsplit("/", 1)[0] if "/" in path else "."
+
+
+def _located(spark: SparkSession, reader: DataFrameReader, addresses: dict[str, str]) -> DataFrame:
+    """Rows of some CSV files, with ``_file``, the file's address.
+
+    The files' folders are listed, one call each, and other files in them are pruned by their
+    address before anything is read; asking for each file by itself would take a job of its own.
+    """
+    found = reader.option("recursiveFileLookup", True).csv(sorted({_folder(p) for p in addresses}))
+    address = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    return found.where(address.isin(sorted(addresses.values()))).withColumn("_file", address)
+
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
+    """The first line of each file that isn't empty.
 
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    No Spark job, however many files there are: Spark reads a file to its end even if one line is
+    wanted, so the first bytes are read through the store's own client, several files at a time.
+    A line longer than HEADER_BYTES is cut there.
+    """
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+    def header(p: str) -> str:
+        file = path(p)
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            first = b""
+            for size in (4 << 10, HEADER_BYTES - (4 << 10)):
+                first += bytes(stream.readNBytes(size))
+                if b"\n" in first or b"\r" in first:
+                    break
+        finally:
+            stream.close()
+        return re.split(b"[\r\n]", first, maxsplit=1)[0].decode("utf-8-sig", "replace")
+
+    paths = sorted(set(paths))
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        for path, names in zip(paths, pool.map(header, paths)):
-            groups[names].append(path)
-    return dict(groups)
+        return {p: line for p, line in zip(paths, pool.map(header, paths), strict=True) if line}
+
+
+def position_map(header: str) -> dict[str, int]:
+    """Where a header line has each canonical column; the first place of a name that comes twice."""
+    cells = next(csv.reader([header]), [])
+    names = [canonical_name(sanitize_name(cell.strip())) for cell in cells]
+    return {name: i for i, name in reversed(list(enumerate(names)))}
+
+
+def _one_scan(spark: SparkSession, files: dict[str, dict[str, int]], geo: bool, multiline: bool) -> DataFrame:
+    """Trips of files of one kind, whatever their dialects: a single scan.
+
+    Lines are split into cells by position; a small table of files says which dialect a line
+    has, and the dialect at which position a column is.
+    """
+    wanted = raw_columns(geo)
+    places = {path: tuple(sorted((c, i) for c, i in at.items() if c in wanted)) for path, at in files.items()}
+    dialects = sorted(set(places.values()))
+    addresses = _addresses(spark, files)
+    width = 1 + max(i for d in dialects for _, i in d)
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    raw = _located(spark, _reader(spark, multiline).schema(schema), addresses)
+    raw = raw.select(*[f"_c{i}" for i in range(width)], "_file", _file_name("_metadata.file_name").alias("filename"))
+    if len(dialects) == 1:
+        dialect = F.lit(0)
+    else:
+        known = [(addresses[path], dialects.index(at)) for path, at in places.items()]
+        known = spark.createDataFrame(known, "_file string, _dialect int")
+        raw = raw.join(broadcast_if_small(known), "_file")
+        dialect = F.col("_dialect")
+
+    def column(name: str) -> Column:
+        found: dict[int, list[int]] = defaultdict(list)
+        for k, d in enumerate(dialects):
+            for c, i in d:
+                if c == name:
+                    found[i].append(k)
+        value = F.lit(None).cast("string")
+        for i, ks in sorted(found.items()):
+            here = F.col(f"_c{i}")
+            value = here if len(ks) == len(dialects) else F.when(dialect.isin(ks), here).otherwise(value)
+        return value.alias(name)
+
+    return typed(raw.select(*[column(c) for c in wanted], "filename"))
 
 
 def read_trip_files(
@@ -63,20 +153,19 @@ def read_trip_files(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """(coordinate trips, zone trips) of many files of any dialect, typed, with ``filename``.
 
-    Each dialect is one scan over all its files, however many those are. A side is
-    None when no file is of that kind.
+    The header lines are read first, without a Spark job; then each side is one scan, however
+    many files and dialects it has.
+    A side is None when no file is of that kind. Columns that a file lacks are NULL, so that
+    its rows are rejected; a file without a pickup time is no trip file and is left out.
+    Header lines are single lines, also with ``multiline``.
     """
-    sides: dict[bool, list[DataFrame]] = {True: [], False: []}
-    for _, group in sorted(header_groups(spark, paths).items()):
-        raw = read_trips_csv(spark, group, multiline, with_file=True)
-        if "pickup_datetime" not in raw.columns:
-            continue  # not a trip file: its row count will say so
-        sides[schemas.has_coordinates(raw)].append(completed(typed(raw)))
-
-    def merge(parts: list[DataFrame]) -> DataFrame | None:
-        return reduce(DataFrame.unionByName, parts) if parts else None
-
-    return merge(sides[True]), merge(sides[False])
+    sides: dict[bool, dict[str, dict[str, int]]] = {True: {}, False: {}}
+    for path, line in file_headers(spark, paths).items():
+        at = position_map(line)
+        if "pickup_datetime" in at:
+            sides["pickup_longitude" in at][path] = at
+    geo, zone = (_one_scan(spark, sides[k], k, multiline) if sides[k] else None for k in (True, False))
+    return geo, zone
 
 
 def list_trip_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:

@@ -1,7 +1,9 @@
 import pytest
 
 from farescope import lookup_rates, index_zones
+from farescope.operators import lookup
 from farescope.schemas import RATES, REQUESTS
+from farescope.sources import tables
 from test_spatial import zones  # noqa: F401 - fixture
 
 
@@ -59,3 +61,28 @@ def test_shared_border_averages_zones(answers):
 
 def test_off_the_map(answers):
     assert all(v is None for k, v in answers.items() if k[0] == 4)
+
+
+def test_stored_curves_answer_alike_and_stay_in_place(spark, zones, rates, tmp_path, monkeypatch):  # noqa: F811
+    base = str(tmp_path)
+    assert tables.read_curves(spark, base).count() == 0
+    tables.write_curves(lookup.rate_curves(rates.limit(1)), base)
+    tables.write_curves(lookup.rate_curves(rates), base)
+    curves = tables.read_curves(spark, base)
+    index = index_zones(zones, 0.5, "include")
+    requests = spark.range(400).selectExpr(
+        "id AS request_id", "0.05D + (id % 40) / 4.0D AS lat", "0.05D + (id % 23) / 3.0D AS lng",
+        "cast(id % 12 + 1 AS int) AS month", "cast(id % 3 + 1 AS int) AS traffic", "id % 5 = 0 AS covid",
+    )
+    want = sorted(map(tuple, lookup_rates(requests, rates, index, 0.5).collect()), key=str)
+    assert sorted(map(tuple, lookup_rates(requests, curves, index, 0.5).collect()), key=str) == want
+    monkeypatch.setattr(lookup, "broadcast_if_small", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_rates(requests, curves, index, 0.5)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, joined.collect()), key=str) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "_totals" in line]

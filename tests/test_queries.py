@@ -21,6 +21,13 @@ EAGER = {
     "place_coordinates",
     "batch_rates",
     "reload_states",
+    "quick_sequential",
+    "trip_row_ids",
+    "quick_completeness_trips",
+    "quarantine_tables",
+    "incremental_rates",
+    "refresh_run",
+    "map_refresh",
 }
 
 
