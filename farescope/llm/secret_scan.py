@@ -3,10 +3,12 @@
 Every long token gets an encoding by its characters (hex, base32, lower, base64). Three tests ask
 whether it looks drawn at random from that alphabet: chi-squared uniformity, the number of runs
 above and below the middle, and the correlation of neighbours. Their p-values are combined.
-How often plain text passes depends on the length, so long words made of letters only serve as
-decoys: for each encoding and class of lengths, the p-value that a token must reach is the
-lowest at which the share of false discoveries, by the decoys of that length, stays below a
-limit. The counts behind it cover all documents and are a small table of fixed size.
+
+How often plain text passes depends on the encoding and the length, so each pair of them has its
+own limit: the lowest p-value at which the share of false discoveries stays below a bound. What
+plain text does is learnt from decoys: tokens of that encoding and length, drawn from a model of
+which letter follows which in the whole corpus. So there are decoys for every length, whatever
+words the corpus has. The counts behind it cover all documents and are tables of fixed size.
 """
 
 from __future__ import annotations
@@ -28,10 +30,13 @@ ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX, LEAST_TOKEN = 12, 18, 16, 20
 
-ENCODINGS = ("hex", "base32", "lower", "base64", "letters")
+ENCODINGS = ("hex", "base32", "lower", "base64")
 STRATA = (20, 24, 32, 40, 48, 64, 96, 128)
 BINS = 100
 FALSE_DISCOVERIES = 0.05
+# Decoys for each encoding and length, and characters of a kind that each is given at least.
+DECOYS = 10_000
+PLANTED = 2
 
 FOUND = (
     "doc_id bigint, base array<struct<start:bigint,kind:int,end:bigint>>, base_sha256 string, "
@@ -53,15 +58,18 @@ ALPHABETS = {
     "base32": UPPER + "234567",
     "lower": DIGITS + LOWER,
     "base64": UPPER + LOWER + DIGITS + "+/",
-    "letters": LOWER,
 }
+# Codes of the model: places in the base64 alphabet, the URL-safe signs included; CODES for no code.
+CODES = len(ALPHABETS["base64"])
+CODE = np.full(256, CODES, np.int64)
+for _c, _chars in enumerate(ALPHABETS["base64"]):
+    CODE[ord(_chars)] = _c
+CODE[ord("-")], CODE[ord("_")] = CODE[ord("+")], CODE[ord("/")]
 
 
 def encoding(token: str) -> tuple[str, str] | None:
     """(encoding, token in its alphabet), or None for what can't be a key, such as numbers."""
     kinds = {("d" if c in DIGITS else "l" if c in LOWER else "u" if c in UPPER else "s") for c in token}
-    if kinds <= {"l", "u"}:
-        return "letters", token.lower()
     if "d" not in kinds or kinds <= {"d", "s"}:
         return None
     if "s" not in kinds:
@@ -77,31 +85,101 @@ def encoding(token: str) -> tuple[str, str] | None:
     return None
 
 
-def _tail(z: float) -> float:
-    return 0.5 * math.erfc(z / math.sqrt(2))
+def _tail(z: np.ndarray) -> np.ndarray:
+    return 0.5 * _erfc(z / math.sqrt(2))
+
 
+_erfc = np.vectorize(math.erfc, otypes=[float])
 
-def randomness(token: str, alphabet: str) -> float:
-    """Combined p-value of three tests: small when the token isn't random over the alphabet."""
-    n, k = len(token), len(alphabet)
-    x = np.array([alphabet.index(c) for c in token], float)
-    counts = np.bincount(x.astype(int), minlength=k)
-    chi = ((counts - n / k) ** 2).sum() * k / n
+
+def randomness(x: np.ndarray, k: int) -> np.ndarray:
+    """Combined p-values of three tests, small for rows of ``x`` that aren't random numbers below ``k``."""
+    rows, n = x.shape
+    counts = np.bincount((x + k * np.arange(rows)[:, None]).ravel(), minlength=rows * k).reshape(rows, k)
+    chi = ((counts - n / k) ** 2).sum(axis=1) * k / n
     uniform = _tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
-    above = x >= k / 2
-    a, b = int(above.sum()), int((~above).sum())
-    if a and b:
-        mean = 1 + 2 * a * b / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        above = x >= k / 2
+        a = above.sum(axis=1)
+        mean = 1 + 2 * a * (n - a) / n
         variance = (mean - 1) * (mean - 2) / (n - 1)
-        r = 1 + int((above[1:] != above[:-1]).sum())
-        run = 2 * _tail(abs(r - mean) / math.sqrt(variance)) if variance > 0 else 1.0
-    else:
-        run = 0.0
-    d = x - x.mean()
-    total = (d * d).sum()
-    serial = 2 * _tail(abs((d[1:] * d[:-1]).sum() / total + 1 / n) * math.sqrt(n)) if total else 0.0
-    s = -2 * sum(math.log(max(p, 1e-300)) for p in (uniform, run, serial)) / 2
-    return math.exp(-s) * (1 + s + s * s / 2)  # Fisher, six degrees of freedom
+        r = 1 + (above[:, 1:] != above[:, :-1]).sum(axis=1)
+        run = 2 * _tail(np.where(variance > 0, np.abs(r - mean) / np.sqrt(variance), 0.0))
+        run = np.where((a == 0) | (a == n), 0.0, run)
+        d = x - x.mean(axis=1, keepdims=True)
+        total = (d * d).sum(axis=1)
+        serial = 2 * _tail(np.where(total > 0, np.abs((d[:, 1:] * d[:, :-1]).sum(axis=1) / total + 1 / n) * math.sqrt(n), 0.0))
+        serial = np.where(total > 0, serial, 0.0)
+    s = -sum(np.log(np.maximum(p, 1e-300)) for p in (uniform, run, serial))
+    return np.exp(-s) * (1 + s + s * s / 2)  # Fisher, six degrees of freedom
+
+
+def _numbers(token: str, kind: str) -> np.ndarray:
+    return np.array([[ALPHABETS[kind].index(c) for c in token]])
+
+
+def _letters(batches):
+    """(pair, n): how often a character follows another within words of the alphabet, in a task.
+
+    CODES stands for the border of a word on either side, and for tokens that are tested.
+    """
+    side = CODES + 1
+    total = np.zeros(side * side, np.int64)
+    for batch in batches:
+        for _, data, offsets in text_blocks(batch.column(0)):
+            code = CODE[data]
+            starts, ends = runs(TOKEN_BYTES[data], offsets)
+            edge = np.zeros(len(data) + 1, np.int64)
+            long = ends - starts >= LEAST_TOKEN
+            np.add.at(edge, starts[long], 1)
+            np.add.at(edge, ends[long], -1)
+            code[np.cumsum(edge[:-1]) > 0] = CODES  # what is to be judged isn't part of the model
+            # a border before each text, so that texts don't run into each other
+            code = np.insert(code, offsets[:-1], CODES)
+            code = np.append(code, CODES)
+            total += np.bincount(code[:-1] * side + code[1:], minlength=side * side)
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["pair", "n"])
+
+
+def decoys(pairs: dict[int, int], length: int, kind: str, n: int = DECOYS, seed: int = 7) -> np.ndarray:
+    """``n`` tokens of plain text in one encoding, as rows of numbers.
+
+    Words of the model are strung together and written in the encoding, characters that it
+    doesn't have left out. As a token of an encoding holds digits, and of base64 both cases, each
+    decoy is given PLANTED of them at least, at random places.
+    """
+    rng = np.random.default_rng([seed, length, ENCODINGS.index(kind)])
+    alphabet, side = ALPHABETS[kind], CODES + 1
+    table = np.zeros((side, side))
+    for pair, count in pairs.items():
+        table[divmod(pair, side)] = count
+    table[CODES, CODES] = 0  # no empty words
+    table += np.full(side, 1e-9)  # an empty corpus: any character
+    step = (table / table.sum(axis=1, keepdims=True)).cumsum(axis=1)
+    written = np.full(side, -1)  # the number of each code in the encoding
+    for c, char in enumerate(ALPHABETS["base64"]):
+        char = char if kind == "base64" else char.upper() if kind == "base32" else char.lower()
+        written[c] = alphabet.find(char)
+    out = np.zeros((n, length), np.int64)
+    size, state, rows = np.zeros(n, np.int64), np.full(n, CODES), np.arange(n)
+    for _ in range(60 * length):
+        state = np.minimum((step[state] < rng.random(n)[:, None]).sum(axis=1), CODES)
+        put = (written[state] >= 0) & (size < length)
+        out[rows[put], size[put]] = written[state[put]]
+        size += put
+        if (size == length).all():
+            break
+    # What a corpus of other scripts can't fill is random: that makes a limit stricter.
+    short = np.arange(length) >= size[:, None]
+    out[short] = rng.integers(0, len(alphabet), int(short.sum()))
+    groups = [DIGITS] if kind != "base64" else [DIGITS, UPPER, LOWER]
+    place = rng.random((n, length)).argsort(axis=1)
+    for g, group in enumerate(groups):
+        numbers = np.array([i for i, c in enumerate(alphabet) if c in group])
+        for j in range(PLANTED):
+            out[rows, place[:, g * PLANTED + j]] = rng.choice(numbers, n)
+    return out
 
 
 def _positions(data: bytes, word: bytes):
@@ -154,7 +232,8 @@ def _scan(batches):
                         if found:
                             stratum = int(np.searchsorted(STRATA, b - a, "right")) - 1
                             cell = ENCODINGS.index(found[0]) * len(STRATA) + stratum
-                            tokens[row + doc].append((a, b, cell, randomness(found[1], ALPHABETS[found[0]])))
+                            p = float(randomness(_numbers(found[1], found[0]), len(ALPHABETS[found[0]]))[0])
+                            tokens[row + doc].append((a, b, cell, p))
                 own.sort()
         hashes = [
             hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in b).encode()).hexdigest() if b else nothing for b in base
@@ -168,23 +247,35 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays(out, ["doc_id", "base", "base_sha256", "tokens"])
 
 
-def limits(counts: dict[tuple[int, int], int], q: float = FALSE_DISCOVERIES) -> dict[int, float]:
+def limits(counts: dict[tuple[int, int], int], pairs: dict[int, int], q: float = FALSE_DISCOVERIES) -> dict[int, float]:
     """The least p-value that counts as a secret, for each cell of encoding and length.
 
-    ``counts`` has the number of tokens by (cell, bin of p). A cell in which no value keeps the
-    false discoveries below ``q`` has no limit, and none of its tokens is a secret.
+    ``counts`` has the number of tokens by (cell, bin of p), ``pairs`` the letters of the corpus.
+    Tokens are a mixture: random ones have p-values spread evenly, plain ones those of the
+    decoys. The share of plain ones follows from the lowest bin, and the false discoveries are
+    the plain tokens times the share of decoys that pass. A cell in which no limit keeps them
+    below ``q`` of the discoveries has none, and none of its tokens is a secret.
     """
     table = np.zeros((len(ENCODINGS), len(STRATA), BINS))
     for (cell, b), n in counts.items():
         table[cell // len(STRATA), cell % len(STRATA), b] += n
     from_here = table[:, :, ::-1].cumsum(axis=2)[:, :, ::-1]
-    decoys = from_here[ENCODINGS.index("letters")]
-    passed = (decoys + 1) / (decoys[:, :1] + 1)
     out = {}
-    for e in range(len(ENCODINGS) - 1):
-        for s in range(len(STRATA)):
+    for e, kind in enumerate(ENCODINGS):
+        for s, length in enumerate(STRATA):
             tokens = from_here[e, s]
-            good = np.flatnonzero((tokens > 0) & (passed[s] * tokens[0] <= q * tokens))
+            if not tokens[0]:
+                continue
+            p = randomness(decoys(pairs, length, kind), len(ALPHABETS[kind]))
+            bins = np.minimum((p * BINS).astype(int), BINS - 1)
+            passed = np.bincount(bins, minlength=BINS)[::-1].cumsum()[::-1]
+            share = (passed + 1) / (len(p) + 1)
+            lowest, even = 1 - share[1], 1 / BINS
+            plain = 1.0
+            if lowest > even:
+                plain = min(1.0, max(0.0, ((table[e, s, 0] + 1) / (tokens[0] + 1) - even) / (lowest - even)))
+            good = np.flatnonzero((tokens > 0) & (plain * share * tokens[0] <= q * tokens))
+            good = good[good > 0]  # the lowest bin is what plain tokens fill
             if len(good):
                 out[e * len(STRATA) + s] = good[0] / BINS
     return out
@@ -202,8 +293,10 @@ def scan(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
     bins = found.select(F.explode("tokens").alias("t")).select(
         F.col("t.cell").alias("cell"), F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")
     )
-    counts = {(r["cell"], r["bin"]): r["count"] for r in bins.groupBy("cell", "bin").count().collect()}  # 4,000 at most
-    least = [x for item in limits(counts, q).items() for x in item]
+    counts = {(r["cell"], r["bin"]): r["count"] for r in bins.groupBy("cell", "bin").count().collect()}  # 3,200 at most
+    pairs = docs.select("text").mapInArrow(_letters, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n"))
+    pairs = dict(map(tuple, pairs.collect())) if counts else {}  # 4,225 at most
+    least = [x for item in limits(counts, pairs, q).items() for x in item]
     none = F.lit(None).cast("double")
     limit = (lambda c: F.create_map(*map(F.lit, least))[c]) if least else (lambda c: none)
     added = F.filter(
