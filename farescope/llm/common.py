@@ -27,6 +27,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called that."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

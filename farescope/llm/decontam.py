@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHasher, plain_words, stored, text_blocks
+from .common import WordHasher, free_name, plain_words, stored, text_blocks
 
 WINDOW = 13
 # Characters of benchmark text that are sent to all executors at once.
@@ -210,25 +210,26 @@ def contamination(
     if parts == 1:
         needed = docs.select(*dict.fromkeys([*columns, "text"]))
         return needed.mapInArrow(_search(columns, suffixes(0), True), _schema(docs, columns, list(RESULT)))
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    number = free_name(docs, "row")
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()))
     found = None
     for part in range(parts):
-        one = numbered.select("__row", "text").mapInArrow(
-            _search(["__row"], suffixes(part), False), _schema(numbered, ["__row"], ["n_words", "matches"])
+        one = numbered.select(number, "text").mapInArrow(
+            _search([number], suffixes(part), False), _schema(numbered, [number], ["n_words", "matches"])
         )
         found = one if found is None else found.unionByName(one)
-    merged = found.groupBy("__row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-    merged = numbered.select("__row", *columns).join(merged, "__row").drop("__row")
+    merged = found.groupBy(number).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
+    merged = numbered.select(number, *columns).join(merged, number).drop(number)
     return merged.mapInArrow(_summed(columns), _schema(docs, columns, list(RESULT)))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that ``contamination`` doesn't find contaminated, with their own columns."""
-    clash = [c for c in docs.columns if c in RESULT]
-    kept = docs
-    for c in clash:
-        kept = kept.withColumnRenamed(c, f"__{c}")
-    judged = contamination(kept, benchmark, **options).where("not contaminated").drop(*RESULT)
-    for c in clash:
-        judged = judged.withColumnRenamed(f"__{c}", c)
-    return judged.select(*docs.columns)
+    """The documents that ``contamination`` doesn't find contaminated, with their own columns.
+
+    Nulls, repeated rows and empty tables are taken as there; column names can't clash.
+    """
+    others = [c for c in docs.columns if c.lower() != "text"]
+    rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("none")).alias("rest")
+    judged = contamination(docs.select(rest, "text"), benchmark, ["rest", "text"], **options).where("not contaminated")
+    own = {c: F.col("rest")[f"c{i}"].alias(c) for i, c in enumerate(others)}
+    return judged.select(*[own.get(c, F.col("text").alias(c)) for c in docs.columns])

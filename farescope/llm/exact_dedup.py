@@ -23,8 +23,6 @@ from .common import stored
 # Fingerprints that a block of the merged filter holds on average, and bits of a remainder.
 BLOCK_FINGERPRINTS = 1 << 17
 REMAINDER_BITS = 40
-# Repeated fingerprints (8 bytes each) that are copied to every executor at most.
-BROADCAST_FINGERPRINTS = 2_000_000
 
 FILTER = "block int, quotients array<bigint>, runs array<int>, remainders array<bigint>, counts array<bigint>"
 
@@ -133,7 +131,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     repeated = stored(repeated)
     # The texts behind repeated fingerprints, one for each task that has read copies, byte by byte.
     again = docs.select(text.alias("text")).withColumn("fingerprint", F.xxhash64("text"))
-    again = again.join(broadcast_if_small(repeated, max_rows=BROADCAST_FINGERPRINTS), "fingerprint", "left_semi")
+    again = again.join(broadcast_if_small(repeated), "fingerprint", "left_semi")
     texts = again.groupBy("fingerprint", "text").agg(F.count(F.lit(1)).alias("group_size"))
     texts = texts.select("fingerprint", F.sha2("text", 256).alias("text_sha256"), "group_size")
     texts = stored(texts.groupBy("fingerprint", "text_sha256").agg(F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")))

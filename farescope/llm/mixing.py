@@ -120,27 +120,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix`` takes it, with the columns of ``docs``.
 
     Rows with equal doc_id, source and size are numbered on both sides and matched by number.
+    Nulls and an empty table are taken as ``mix`` takes them; column names can't clash.
     """
-    keys = ["__doc_id", "__source", "__size"]
-    number = F.row_number().over(W.partitionBy(*keys).orderBy("__order"))
-    copies = mix(docs, **options).select(
-        F.col("doc_id").alias("__doc_id"),
-        F.col("source").alias("__source"),
-        F.col("size").alias("__size"),
-        F.col("copies").alias("__copies"),
-        F.lit(0).alias("__order"),
-    )
-    copies = copies.withColumn("__n", number).drop("__order")
-    rows = docs.withColumns(
-        {
-            "__doc_id": F.col("doc_id"),
-            "__source": F.col("source"),
-            "__size": word_count(F.col("text")),
-            "__order": F.xxhash64("text"),
-        }
-    ).withColumn("__n", number)
-    same = rows["__size"] == copies["__size"]
-    for c in ("__doc_id", "__source"):
-        same = same & rows[c].eqNullSafe(copies[c])
-    found = rows.join(copies, same & (rows["__n"] == copies["__n"])).where("__copies > 0")
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[rows[c] for c in docs.columns])
+    keys = ["doc_id", "source", "size"]
+    number = F.row_number().over(W.partitionBy(*keys).orderBy("order")).alias("number")
+    copies = mix(docs, **options).select(*keys, "copies", F.lit(0).alias("order"))
+    copies = copies.select(*[F.col(c).alias(f"{c}_") for c in keys], "copies", number).withColumnRenamed("number", "number_")
+    rows = docs.select(
+        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"),
+        "doc_id",
+        "source",
+        word_count(F.col("text")).alias("size"),
+        F.xxhash64("text").alias("order"),
+    ).select("row", *keys, number)
+    same = (F.col("size") == F.col("size_")) & (F.col("number") == F.col("number_"))
+    for c in ("doc_id", "source"):
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    found = rows.join(copies, same).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies")))
+    return found.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from farescope.session import broadcast_if_small
 
-from .common import WordHasher, mix, space_words, stored, text_blocks
+from .common import WordHasher, free_name, mix, space_words, stored, text_blocks
 from .components import components
 
 WORDS = 5
@@ -489,18 +489,20 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row of ``docs`` for each component of ``similar_components``, with all its columns.
+    """One row of ``docs`` for each group of rows that links join, with all its columns.
 
-    The row whose doc_id names the component stays; of several rows with that doc_id, the one
-    whose text hashes lowest. Rows without words are components of their own and all stay, as do
-    rows whose component has no doc_id but null.
+    Rows are told apart by themselves, not by doc_id: different texts that share a doc_id are
+    different rows. Of a group, the row with the smallest doc_id stays (null last), then the one
+    whose text hashes lowest. Rows without words are linked with nothing and all stay. Nulls,
+    repeated rows and an empty table are taken as ``similar_components`` takes them; column names
+    can't clash.
     """
-    found = similar_components(docs, words, percent).where("n_shingles > 0 and doc_id = component_id")
-    stay = stored(found.groupBy(F.col("doc_id").alias("__key")).agg(F.count(F.lit(1)).alias("__rows")))
-    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.withColumn("__alone", wordless | F.col("doc_id").isNull())
-    marked = marked.join(broadcast_if_small(stay), F.col("doc_id") == F.col("__key"), "left")
-    single = marked.where("__alone or __rows = 1")
-    several = marked.where("not __alone and __rows > 1")
-    several = several.withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy(F.xxhash64("text")))).where("__n = 1")
-    return single.select(*docs.columns).unionByName(several.select(*docs.columns))
+    row = free_name(docs, "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = similar_components(numbered.select(F.col(row).alias("doc_id"), "text"), words, percent)
+    own = numbered.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("print"))
+    first = F.min(F.struct(F.col("own").isNull().alias("none"), "own", "print", "doc_id")).alias("first")
+    linked = found.where("n_shingles > 0").join(own, "doc_id").groupBy("component_id").agg(first)
+    alone = found.where("n_shingles = 0").select("doc_id")
+    stay = stored(linked.select(F.col("first.doc_id").alias(row)).unionByName(alone.withColumnRenamed("doc_id", row)))
+    return numbered.join(broadcast_if_small(stay), row, "left_semi").select(*docs.columns)
