@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
+import os
 import zlib
 
 import numpy as np
@@ -25,16 +27,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import WordHasher, space_words, text_blocks
+
 END_ID = 0
 # The dictionary is trained on so many documents at most, on so many characters of each.
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_CHARS = 4096
 DICTIONARY_BYTES = 32 << 10
 BLOCK_IDS = 1 << 19
+# Bytes of text that a task writes on average, at most.
+RANGE_BYTES = 64 << 20
 # Distinct pieces of text whose ids a worker remembers.
 REMEMBERED = 1_200_000
-POINTS = ".,;:!?#$%&*"
-CHUNK_CHARS = 1 << 20
+CHUNK_BYTES = 1 << 20
+# ASCII punctuation that a piece may begin with after an ASCII letter or digit.
+POINTS = b".,;:!?#$%&*"
+POINT, ALNUM, ODD_BYTES, ODD_THIRD = (np.zeros(256, bool) for _ in range(4))
+POINT[list(POINTS)] = True
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = True
+# White space beyond space and line feed: bytes, pairs of bytes, and third bytes after E2 80.
+ODD_BYTES[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+ODD_PAIRS = {lead: np.isin(np.arange(256), seconds) for lead, seconds in ((0xC2, [0x85, 0xA0]), (0xE1, [0x9A]), (0xE2, [0x81]), (0xE3, [0x80]))}
+ODD_THIRD[[*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF]] = True
 
 BLOCKS = (
     "part int, block int, first_token bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
@@ -42,92 +56,189 @@ BLOCKS = (
 )
 
 
+class Places:
+    """Places of 64-bit keys in a list, by open addressing in arrays: whole arrays are looked up at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(12, int(len(keys) * 3).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        self.keys = keys
+        self._put(np.arange(len(keys)))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _put(self, places: np.ndarray) -> None:
+        at = self._slot(self.keys[places])
+        while len(places):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = places[free]  # of several for one slot the last stays
+            out = self.slots[at] != places
+            places, at = places[out], (at[out] + 1) & ((1 << self.bits) - 1)
+
+    def add(self, keys: np.ndarray) -> None:
+        """Append keys that aren't in the list yet."""
+        places = np.arange(len(self.keys), len(self.keys) + len(keys))
+        self.keys = np.concatenate([self.keys, keys])
+        if len(self.keys) * 2 > len(self.slots):
+            self.__init__(self.keys)
+        else:
+            self._put(places)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those that aren't in the list."""
+        out = np.full(len(keys), -1, np.int64)
+        open_, at = np.arange(len(keys) if len(self.keys) else 0), self._slot(keys)
+        while len(open_):
+            place = self.slots[at]
+            same = (place >= 0) & (self.keys[place] == keys[open_])
+            out[open_[same]] = place[same]
+            on = (place >= 0) & ~same
+            open_, at = open_[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+
 class Encoder:
     """Ids of texts as packed little-endian bytes, from a byte-level BPE of the tokenizers library.
 
     Its pre-tokeniser always parts a text before a single space or line feed between two
-    non-blank characters, and between a letter or digit and punctuation; what it parts is encoded
-    piece by piece. So the ids of a piece are those of any earlier equal piece, and are
-    remembered. Texts with other white space, or with a special token's string, are encoded as a
-    whole, and so is everything if the tokeniser parts texts in another way.
+    non-blank characters, and between an ASCII letter or digit and one of POINTS; what it parts is
+    encoded piece by piece. So the ids of a piece are those of any earlier equal piece, and are
+    remembered: pieces of a block are looked up together, by a hash that can't mistake pieces of
+    up to eight bytes and a comparison of the longer ones. Texts with other white space, or with
+    a special token's string, are encoded as a whole, and so is everything if the tokeniser
+    parts texts in another way.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.remembered = remembered
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-        self.line_feed = len(self._pack(["\n"])[0])
-        parts = ["\na", " b", "\nc", ",", " d", "\n1", " 'x", " \u00e9", "###"]
+        self.hasher = WordHasher(space_words(), fold=False)
+        # Ids whose text begins with a space or a line feed, as the byte-level alphabet writes them.
+        self.blank_led = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.blank_led[i] = token[:1] in ("\u0120", "\u010a")
+        self._forget()
+        parts = ["\na", " b", "\nc", ",", " d", "\n1", ".5", " 'x", " \u00e9", "###"]
         self.pieces = b"".join(self._pack(parts)) == self._pack(["".join(parts)])[0]
 
+    def _forget(self) -> None:
+        self.places = Places(np.zeros(0, np.uint64))
+        self.text = np.zeros(0, np.uint8)  # of the known pieces, one after another
+        self.text_start = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, self.dtype)
+        self.ids_start = np.zeros(1, np.int64)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _pack(self, texts: list[str]) -> list[bytes]:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        data = np.fromiter(itertools.chain.from_iterable(found), self.dtype).tobytes()
-        out, at = [], 0
-        for x in found:
-            end = at + len(x) * self.dtype.itemsize
-            out.append(data[at:end])
-            at = end
+        return [np.array(ids, self.dtype).tobytes() for ids in self._ids(texts)]
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Remember new pieces. Those that begin with a blank are encoded as one text, and parted again there."""
+        led = np.array([p[0] in b" \n" for p in pieces], bool)
+        counts = np.zeros(len(pieces), np.int64)
+        joined = b"".join(p for p, x in zip(pieces, led, strict=True) if x).decode()
+        one = np.array(self._ids([joined])[0] if joined else [], self.dtype)
+        heads = np.flatnonzero(self.blank_led[one])
+        if len(heads) != led.sum():
+            raise ValueError("the tokeniser doesn't part texts at blanks")
+        counts[led] = np.diff(np.append(heads, len(one)))
+        rest = self._ids([p.decode() for p, x in zip(pieces, led, strict=True) if not x])
+        counts[~led] = [len(x) for x in rest]
+        order = np.concatenate([np.flatnonzero(led), np.flatnonzero(~led)])
+        ids = np.concatenate([one, np.fromiter(itertools.chain.from_iterable(rest), self.dtype)])
+        self.places.add(keys[order])
+        text = [pieces[i] for i in order]
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(text), np.uint8)])
+        self.text_start = np.append(self.text_start, self.text_start[-1] + np.cumsum([len(p) for p in text]))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ids_start = np.append(self.ids_start, self.ids_start[-1] + np.cumsum(counts[order]))
+
+    def _whole(self, raw: bytes, data: np.ndarray, blank: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts can't be taken piece by piece."""
+        odd = ODD_BYTES[data]
+        odd[1:] |= blank[1:] & blank[:-1]
+        filled = offsets[1:] > offsets[:-1]
+        odd[offsets[:-1][filled]] |= blank[offsets[:-1][filled]]
+        odd[offsets[1:][filled] - 1] |= blank[offsets[1:][filled] - 1]
+        at = [np.flatnonzero(odd)]
+        for lead, seconds in ODD_PAIRS.items():
+            here = np.flatnonzero(data[:-1] == lead)
+            at.append(here[seconds[data[here + 1]]])
+        triple = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80))
+        at.append(triple[ODD_THIRD[data[triple + 2]]])
+        for word in self.special:
+            place = raw.find(word)
+            while place >= 0:
+                at.append(np.array([place]))
+                place = raw.find(word, place + 1)
+        out = np.zeros(len(offsets) - 1, bool)
+        out[np.searchsorted(offsets, np.concatenate(at), "right") - 1] = True
         return out
 
-    def _learn(self, new: set[str], needed: set[str]) -> None:
-        """Remember new pieces: a line feed or, unsaid, a space, then text without white space."""
-        if len(self.known) + len(new) > self.remembered // 2:
-            self.older, self.known, new = self.known, {}, needed
-        known, older, ask, ends = self.known, self.older, set(), []
-        for k in new:
-            if k in older:
-                known[k] = older[k]
-                continue
-            core = k[1:] if k[0] == "\n" else k
-            if core.split() != [core]:
-                known[k] = None
-                continue
-            base = k.rstrip(POINTS)
-            if base != k and base[-1:].isalnum():
-                tail = "\r" + k[len(base) :]
-                ends.append((k, base, tail))
-                ask.update(x for x in (base, tail) if x not in known)
-            else:
-                ask.add(k)
-        for k in [k for k in ask if k in older]:
-            known[k] = older[k]
-            ask.discard(k)
-        ask = list(ask)
-        shown = [k if k[0] == "\n" else k[1:] if k[0] == "\r" else " " + k for k in ask]
-        known.update(zip(ask, self._pack(shown), strict=True))
-        for k, base, tail in ends:
-            known[k] = known[base] + known[tail]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        seen: set[str] = set()
-        for text in texts:
-            s = ("\n" + text).replace("\n", " \n")
-            keys = None
-            if self.pieces and not ("  " in s or "\n " in s or s[-1] in " \n" or any(x in text for x in self.special)):
-                keys = s[1:].split(" ")
-                seen.update(keys)
-            split.append(keys)
-        new = seen.difference(self.known)
-        if new:
-            self._learn(new, seen)
-        out, whole, ids = [], [], self.known.__getitem__
-        for i, keys in enumerate(split):
-            try:
-                out.append(b"".join(map(ids, keys))[self.line_feed :])
-            except TypeError:  # not split, or white space within a piece
-                out.append(b"")
-                whole.append(i)
-        for i, data in zip(whole, self._pack([texts[i] for i in whole]), strict=True):
-            out[i] = data
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of each text; null counts as empty."""
+        out: list[bytes] = []
+        for _, data, offsets in text_blocks(texts, CHUNK_BYTES):
+            out += self._block(data, offsets)
         return out
 
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        raw, rows = data.tobytes(), len(offsets) - 1
+        blank = (data == 0x20) | (data == 0x0A)
+        whole = self._whole(raw, data, blank, offsets) if self.pieces and len(data) else np.ones(rows, bool)
+        texts = [raw[i:j].decode() for i, j, w in zip(offsets[:-1], offsets[1:], whole, strict=True) if w]
+        alone = iter(self._pack(texts) if texts else [])
+        if whole.all():
+            return list(alone)
+        cut = blank.copy()
+        cut[1:] |= POINT[data[1:]] & ALNUM[data[:-1]]
+        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(data))
+        taken = ~whole[np.searchsorted(offsets, starts, "right") - 1]
+        starts, ends = starts[taken], ends[taken]
+        keys = self.hasher.hashes(data, starts, ends)
+        place = self.places.find(keys)
+        if (place < 0).any():
+            new, first = np.unique(keys[place < 0], return_index=True)
+            if len(self.places.keys) + len(new) > self.remembered:
+                self._forget()
+                new, first = np.unique(keys, return_index=True)
+                i, j = starts[first], ends[first]
+            else:
+                i, j = starts[place < 0][first], ends[place < 0][first]
+            self._learn(new, [raw[a:b] for a, b in zip(i.tolist(), j.tolist(), strict=True)])
+            place = self.places.find(keys)
+        self._compare(data, starts, ends, place)
+        count = self.ids_start[place + 1] - self.ids_start[place]
+        upto = np.cumsum(count)
+        ids = self.ids[np.repeat(self.ids_start[place] - (upto - count), count) + np.arange(upto[-1])]
+        bounds = np.append(0, upto)[np.searchsorted(starts, offsets)]
+        return [next(alone) if w else ids[i:j].tobytes() for w, i, j in zip(whole, bounds[:-1], bounds[1:], strict=True)]
+
+    def _compare(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> None:
+        """That each piece is the known one, not one with the same hash."""
+        size = ends - starts
+        known = self.text_start[place + 1] - self.text_start[place]
+        long = np.flatnonzero(size > 8)
+        n = size[long]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        same = (size == known).all()
+        if same:
+            here = data[np.repeat(starts[long], n) + within]
+            same = (here == self.text[np.repeat(self.text_start[place[long]], n) + within]).all()
+        if not same:
+            raise ValueError("two pieces of text share a 64-bit hash")
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -138,21 +249,9 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _chunks(texts: list[str]):
-    """Slices of about CHUNK_CHARS characters."""
-    i = 0
-    while i < len(texts):
-        j, n = i, 0
-        while j < len(texts) and (j == i or n + len(texts[j]) <= CHUNK_CHARS):
-            n += len(texts[j])
-            j += 1
-        yield slice(i, j)
-        i = j
-
-
 def _train(tokenizer: str):
     def run(batches):
-        samples = [x for b in batches for x in encoder(tokenizer).encode(b.column(0).to_pylist()) if x]
+        samples = [x for b in batches for x in encoder(tokenizer).encode(b.column(0)) if x]
         data, raw = b"", b"".join(samples)
         if samples:
             try:
@@ -196,17 +295,15 @@ def _blocks(tokenizer: str, dictionary: bytes, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for piece in _chunks(texts):
-                for doc_id, data in zip(ids[piece], enc.encode(texts[piece]), strict=True):
-                    data += end
-                    doc_ids.append(doc_id)
-                    sizes.append(len(data) // enc.dtype.itemsize)
-                    frames.append(codec.compress(data))
-                    if sum(sizes[-1:]) >= BLOCK_IDS or len(sizes) % 64 == 0 and sum(sizes) >= BLOCK_IDS:
-                        yield row()
-                        block, first = block + 1, first + sum(sizes)
-                        doc_ids, sizes, frames = [], [], []
+            for doc_id, data in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1)), strict=True):
+                data += end
+                doc_ids.append(doc_id)
+                sizes.append(len(data) // enc.dtype.itemsize)
+                frames.append(codec.compress(data))
+                if sum(sizes[-1:]) >= BLOCK_IDS or len(sizes) % 64 == 0 and sum(sizes) >= BLOCK_IDS:
+                    yield row()
+                    block, first = block + 1, first + sum(sizes)
+                    doc_ids, sizes, frames = [], [], []
         if doc_ids:
             yield row()
 
@@ -229,7 +326,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     width = encoder(tokenizer).dtype.itemsize
     row = [(dictionary, hashlib.sha256(dictionary).hexdigest(), width)]
     docs.sparkSession.createDataFrame(row, "dictionary binary, sha256 string, width int").coalesce(1).write.parquet(f"{path}/dictionary")
-    ordered = docs.withColumn("key", key).repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / RANGE_BYTES))
+    ordered = docs.withColumn("key", key).repartitionByRange(ranges, "doc_id", "key").sortWithinPartitions("doc_id", "key", "text")
     ordered.select("doc_id", "text").mapInArrow(_blocks(tokenizer, dictionary, end_id), BLOCKS).write.parquet(f"{path}/blocks")
 
 
