@@ -58,13 +58,13 @@ def crossing_map(
     )
     starts_here = f"_cx = {cell_of('e.x1', cell)} AND _cy = {cell_of('e.y1', cell)}"
     on = (
-        "cx = _cx AND cy = _cy AND (whole"
+        "(whole"
         f" OR exists(edges, z -> {S.edges_touch('e', 'z')})"
         f" OR ({starts_here} AND {S.contains_point('edges', '_x', '_y', 'include')}))"
     )
     # The start point is named apart: inside the edge fold, ``e`` is the zone's edge.
     pieces = pieces.selectExpr("*", "e.x1 AS _x", "e.y1 AS _y")
-    matched = cell_join(pieces, cells, on, "inner", small)
+    matched = cell_join(pieces, cells, [("_cx", "cx"), ("_cy", "cy")], on, "inner", small)
     return matched.select(F.col("_line").alias(key), "zone_id").distinct()
 
 
@@ -110,12 +110,12 @@ def overlap_map(
     low_x, low_y = "greatest(a_xmin, z_xmin)", "greatest(a_ymin, z_ymin)"
     high_x = "least(a_xmax, z_xmax)"
     on = (
-        f"a_cx = z_cx AND a_cy = z_cy AND {low_x} < {high_x} AND {low_y} < least(a_ymax, z_ymax)"
+        f"{low_x} < {high_x} AND {low_y} < least(a_ymax, z_ymax)"
         f" AND a_cx = {cell_of(low_x, cell)} AND a_cy = {cell_of(low_y, cell)}"
     )
     width = f"{float(cell)!r}D"
     pairs = (
-        cell_join(a, z, on, "inner", fits_broadcast(z))
+        cell_join(a, z, [("a_cx", "z_cx"), ("a_cy", "z_cy")], on, "inner", fits_broadcast(z))
         .selectExpr(
             "a_id AS id", "z_id AS zone", "a_area AS area", f"{low_x} AS low", f"{high_x} AS high",
             f"{cell_range(low_x, high_x, cell)} AS strip",

@@ -9,6 +9,10 @@ a point. A vertex height itself becomes a list of intervals of x.
 
 A point has one cell, so nothing is compared with every zone, and the point side is
 never shuffled while the index fits a broadcast.
+
+Where zones differ much in size, one cell size is too fine for some and too coarse for
+others. With ``crowd``, cells that hold more edges than that are split in four, over and
+over; the index then has cells of several sizes, and names those that were split.
 """
 
 from __future__ import annotations
@@ -18,14 +22,19 @@ from pyspark.sql import functions as F
 
 from farescope import schemas
 from farescope.functions import shapes as S
-from farescope.session import evaluate_once, fits_broadcast
+from farescope.session import broadcast_if_small, evaluate_once, fits_broadcast, shared_dir
 
 DEFAULT_CELL = 0.005  # degrees; about a quarter of a city zone
-SALT = 16
+# Rows of one cell beyond which they are spread over several tasks, where the index isn't broadcast.
+CELL_ROWS = 500_000
+# How often a cell may be split, and the factor that makes room for the level in a cell's number.
+LEVELS = 7
+_LEVEL_ROOM = 8
 _MARGIN = 1e-9  # of a cell: keeps rounding at cell borders on the safe side
 
-# How an index row decides a point: always, between two edges, or on a vertex height.
-_WHOLE, _BAND, _LEVEL = 0, 1, 2
+# How an index row decides a point: always, between two edges, or on a vertex height; or that the
+# cell was split, so that smaller ones decide.
+_WHOLE, _BAND, _LEVEL, _SPLIT = 0, 1, 2, 3
 
 
 def cell_of(value: str, cell: float) -> str:
@@ -172,9 +181,65 @@ def point_index(cells: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "e
     )
 
 
-def index_zones(zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude") -> DataFrame:
-    """The point index of a zone layer. Write it to a table where it is used more than once."""
-    return point_index(zone_cells(zones, cell), cell, boundary)
+def _split_cells(cells: DataFrame, cell: float) -> DataFrame:
+    """``zone_cells`` rows cut into four cells each, of size ``cell``.
+
+    The edges of a row are all that matter to the right of it, so they are enough for its parts.
+    """
+    x0, y0, x1, y1 = cell_box(cell)
+    parts = ", ".join(f"named_struct('cx', 2 * cx + {i}, 'cy', 2 * cy + {j})" for i in (0, 1) for j in (0, 1))
+    boxed = cells.selectExpr("zone_id", "whole", "edges", f"inline(array({parts}))").selectExpr("*", x0, y0, x1, y1)
+    near = "filter(edges, e -> least(e.y1, e.y2) <= y1 AND greatest(e.y1, e.y2) >= y0 AND greatest(e.x1, e.x2) >= x0) AS edges"
+    cut = evaluate_once(boxed, "zone_id", "whole", "cx", "cy", "x0", "y0", "x1", "y1", near)
+    border = f"exists(edges, e -> {S.edge_meets_box('e', 'x0', 'y0', 'x1', 'y1')})"
+    centre = S.contains_point("edges", "(x0 + x1) / 2D", "(y0 + y1) / 2D")
+    tested = evaluate_once(
+        cut, "cx", "cy", "zone_id", f"NOT whole AND {border} AS border", f"whole OR {centre} AS within", "edges"
+    )
+    return tested.where("border OR within").selectExpr(
+        "cx", "cy", "zone_id", "NOT border AS whole", "if(border, edges, slice(edges, 1, 0)) AS edges"
+    )
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _numbered(index: DataFrame, level: int) -> DataFrame:
+    return index.withColumn("cx", F.col("cx") * _LEVEL_ROOM + level).withColumn("level", F.lit(level))
+
+
+def index_zones(
+    zones: DataFrame, cell: float = DEFAULT_CELL, boundary: str = "exclude", crowd: int | None = None
+) -> DataFrame:
+    """The point index of a zone layer. Write it to a table where it is used more than once.
+
+    With ``crowd``, cells that hold more edges than that, of all zones, are split up to LEVELS
+    times; ``cell`` is then the size of the largest ones.
+    """
+    cells = zone_cells(zones, cell)
+    if crowd is None:
+        return point_index(cells, cell, boundary)
+    index = None
+    for level in range(LEVELS + 1):
+        size = cell / 2**level
+        cells = _kept(cells)
+        held = cells.groupBy("cx", "cy").agg(F.sum(F.size("edges")).alias("_held"))
+        crowded = held.where(F.col("_held") > (crowd if level < LEVELS else 1 << 62)).select("cx", "cy")
+        crowded = broadcast_if_small(_kept(crowded))
+        done = point_index(cells.join(crowded, ["cx", "cy"], "left_anti"), size, boundary)
+        split = crowded.withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in done.schema if f.name not in ("cx", "cy", "kind")}
+        ).withColumn("kind", F.lit(_SPLIT))
+        one = _numbered(done.unionByName(split), level)
+        index = one if index is None else index.unionByName(one)
+        cells = cells.join(crowded, ["cx", "cy"], "left_semi")
+        if cells.isEmpty():
+            break
+        cells = _split_cells(cells, size / 2)
+    return index
 
 
 def index_fits(index: DataFrame) -> bool:
@@ -202,21 +267,71 @@ def _decides(p: str, x: str, y: str, boundary: str) -> str:
 
 
 def cell_join(
-    left: DataFrame, index: DataFrame, on: str, how: str, small: bool, salt: int = SALT
+    left: DataFrame,
+    index: DataFrame,
+    keys: list[tuple[str, str]],
+    on: str,
+    how: str,
+    small: bool,
+    cell_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``left`` to a cell index.
+    """Join ``left`` to a cell index: ``keys`` (expressions and index columns) equal, and ``on``.
 
-    A small index is broadcast. A large one is shuffled together with ``left``, spread
-    over ``salt`` copies of each cell so that a crowded cell is not one task's work. The
-    salt hashes the row and its input partition: many copies of one row are spread too,
-    and a task that is run again sends its rows the same way, in whatever order they come.
+    A small index is broadcast. A large one is shuffled together with ``left``. Then the rows of
+    each cell are counted first, and a cell with more than ``cell_rows`` of them is spread over as
+    many copies as it takes, so that a crowded cell is not one task's work. What spreads them
+    hashes the row and its input partition: many copies of one row are spread too, and a task
+    that is run again sends its rows the same way, in whatever order they come.
     """
     if small:
-        return left.join(F.broadcast(index), F.expr(on), how)
+        same = " AND ".join(f"{x} = {c}" for x, c in keys)
+        return left.join(F.broadcast(index), F.expr(f"{same} AND {on}"), how)
+    cell_rows = CELL_ROWS if cell_rows is None else cell_rows
+    names = [f"_key{i}" for i in range(len(keys))]
+    keyed = left.withColumns({n: F.expr(x) for n, (x, _) in zip(names, keys, strict=True)})
+    count = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_rows)
+    copies = F.ceil(F.col("_n") / cell_rows).cast("int").alias("_copies")
+    # A row for each crowded cell: fewer than the rows that a task takes.
+    crowded = broadcast_if_small(_kept(count.na.drop().select(*[F.col(n).alias(f"{n}_") for n in names], copies)))
     mixed = F.xxhash64(*left.columns, F.spark_partition_id())
-    salted = left.withColumn("_salt", F.pmod(mixed, F.lit(salt)).cast("int"))
-    copies = index.selectExpr("*", f"explode(sequence(0, {salt - 1})) AS _copy")
-    return salted.join(copies, F.expr(f"_salt = _copy AND {on}"), how).drop("_salt", "_copy")
+    ours = " AND ".join(f"{n} = {n}_" for n in names)
+    salt = F.when(F.col(names[0]).isNull() | F.col(names[1]).isNull(), F.pmod(mixed, F.lit(1 << 10)))
+    salted = keyed.join(crowded, F.expr(ours), "left").withColumn(
+        "_salt", salt.otherwise(F.pmod(mixed, F.coalesce("_copies", F.lit(1)))).cast("int")
+    )
+    salted = salted.drop("_copies", *[f"{n}_" for n in names])
+    theirs = " AND ".join(f"{c} = {n}_" for n, (_, c) in zip(names, keys, strict=True))
+    spread = index.join(crowded, F.expr(theirs), "left").drop(*[f"{n}_" for n in names])
+    spread = spread.selectExpr("*", "explode(sequence(0, coalesce(_copies, 1) - 1)) AS _copy").drop("_copies")
+    same = " AND ".join(f"{n} = {c}" for n, (_, c) in zip(names, keys, strict=True))
+    return salted.join(spread, F.expr(f"_salt = _copy AND {same} AND {on}"), how).drop("_salt", "_copy", *names)
+
+
+def _with_levels(points: DataFrame, index: DataFrame, x: str, y: str, cell: float, p: str) -> tuple[DataFrame, str]:
+    """Points with the level of the cell that decides them, as a column, and its name.
+
+    A cell is split only if the one around it is, so the level is the number of splits that a
+    point's cells have: one join with the split cells of each level.
+    """
+    split = index.where(f"kind = {_SPLIT}").select("level", "cx", "cy")
+    deepest = split.agg(F.max("level")).first()[0]
+    name, flags = f"{p}level", []
+    for level in range(0 if deepest is None else deepest + 1):
+        flag = f"{p}split{level}"
+        names = [f"{flag}x", f"{flag}y"]
+        side = split.where(F.col("level") == level).select(F.col("cx").alias(names[0]), F.col("cy").alias(names[1]))
+        size = cell / 2**level
+        on = f"{_level_cell(x, f'{size!r}D', str(level))} = {names[0]} AND {cell_of(y, size)} = {names[1]}"
+        points = points.join(broadcast_if_small(side), F.expr(on), "left")
+        points = points.withColumn(flag, F.col(names[0]).isNotNull().cast("int")).drop(*names)
+        flags.append(flag)
+    level = " + ".join(flags) or "0"
+    return points.withColumn(name, F.expr(level)).drop(*flags), name
+
+
+def _level_cell(value: str, size: str, level: str) -> str:
+    """Number of a cell of a level along x, as ``_numbered`` writes it."""
+    return f"try_cast(floor(nullif({value}, double('NaN')) / {size}) * {_LEVEL_ROOM} + {level} AS INT)"
 
 
 def join_zones(
@@ -229,7 +344,7 @@ def join_zones(
     boundary: str = "exclude",
     how: str = "inner",
     small: bool | None = None,
-    salt: int = SALT,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Add column ``zone`` with the zone holding (x, y): one row per zone that does.
 
@@ -238,14 +353,22 @@ def join_zones(
     edge that two parts of one zone share can match it twice with ``"include"``.
     """
     small = index_fits(index) if small is None else small
-    p = f"_{zone}_"
+    p, columns = f"_{zone}_", points.columns
+    if "level" in index.columns:
+        points, level = _with_levels(points, index, x, y, cell, p)
+        size = f"({float(cell)!r}D / pow(2, {level}))"
+        keys = [
+            (_level_cell(x, size, level), f"{p}cx"),
+            (f"try_cast(floor(nullif({y}, double('NaN')) / {size}) AS INT)", f"{p}cy"),
+        ]
+        index = index.where(f"kind <> {_SPLIT}").drop("level")
+    else:
+        keys = [(cell_of(x, cell), f"{p}cx"), (cell_of(y, cell), f"{p}cy")]
     side = index.toDF(*[p + c for c in index.columns])
-    here = f"{p}cx = {cell_of(x, cell)} AND {p}cy = {cell_of(y, cell)}"
-    on = f"{here} AND {_decides(p, x, y, boundary)}"
-    joined = cell_join(points, side, on, how, small, salt)
+    joined = cell_join(points, side, keys, _decides(p, x, y, boundary), how, small, cell_rows)
     if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.select(*points.columns, F.col(f"{p}zone_id").alias(zone))
+        return joined.select(*columns)
+    return joined.select(*columns, F.col(f"{p}zone_id").alias(zone))
 
 
 def geo_to_zone(
@@ -295,7 +418,7 @@ def geo_unmatched(
     and semi joins.
     """
     small = index_fits(index) if small is None else small
-    if small:
+    if small and "level" not in index.columns:
         missing = [
             f"NOT EXISTS (SELECT * FROM {{index}} AS i WHERE"
             f" i.cx = {cell_of(f't.{end}_longitude', cell)} AND i.cy = {cell_of(f't.{end}_latitude', cell)}"

@@ -605,6 +605,7 @@ kept AS (SELECT 'yellow' AS provider, {month} AS m, count(*) AS n FROM trips GRO
   FROM named LEFT JOIN kept USING (provider, m)""",
     )
     out["last_header"] = out["clean_trips"]
+    out["geo_to_zone_split"] = out["geo_to_zone"]
     out["reproject_shapes"] = _select(
         (FEET[0], *_degrees(("gid", "tn", _TRACT_RING, True))),
         f"SELECT gid, {', '.join(f'round({c}, 8) AS {c}' for c in ('x1', 'y1', 'x2', 'y2'))} FROM deg",

@@ -149,6 +149,13 @@ def geo_to_zone(spark, sf):
     return spatial.geo_to_zone(B.trips(spark, sf, geo=True), B.zone_index(spark, sf), B.CELL)
 
 
+def geo_to_zone_split(spark, sf):
+    """The same conversion by an index with cells of several sizes."""
+    path = shared_dir(spark)
+    spatial.index_zones(B.zones(spark, sf), 8 * B.CELL, crowd=6).write.parquet(path)
+    return spatial.geo_to_zone(B.trips(spark, sf, geo=True), spark.read.parquet(path), 8 * B.CELL)
+
+
 def geo_unmatched(spark, sf):
     return spatial.geo_unmatched(B.trips(spark, sf, geo=True), B.zone_index(spark, sf), B.CELL)
 
@@ -465,6 +472,7 @@ def all_queries() -> dict[str, Query]:
         "map_refresh": map_refresh,
         "polygon_area": polygon_area,
         "geo_to_zone": geo_to_zone,
+        "geo_to_zone_split": geo_to_zone_split,
         "geo_unmatched": geo_unmatched,
         "geo_rates": geo_rates,
         "point_zone_or_default": point_zone_or_default,

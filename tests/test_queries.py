@@ -28,6 +28,7 @@ EAGER = {
     "incremental_rates",
     "refresh_run",
     "map_refresh",
+    "geo_to_zone_split",
 }
 
 

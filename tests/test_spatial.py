@@ -84,16 +84,61 @@ def test_against_edge_by_edge(spark, zones, boundary, cell):
 
 
 def test_shuffled_join_equals_broadcast(spark, zones):
-    df = spark.createDataFrame(sample_points(), "id long, x double, y double")
+    """Also with cells that hold more rows than a task should take, and many points in no cell."""
+    points = sample_points() + [(10_000 + i, 0.6, 0.7) for i in range(300)] + [(20_000 + i, None, 1.0) for i in range(50)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
     index = index_zones(zones, 0.5)
     for how in ("inner", "left", "left_semi", "left_anti"):
         one, two = (
-            Counter(map(tuple, join_zones(df, index, "x", "y", "z", 0.5, how=how, small=small).collect()))
+            Counter(map(tuple, join_zones(df, index, "x", "y", "z", 0.5, how=how, small=small, cell_rows=20).collect()))
             for small in (True, False)
         )
         assert one == two
 
 
+@pytest.mark.parametrize("boundary", ["exclude", "include"])
+@pytest.mark.parametrize("crowd", [3, 12, 1000])
+def test_cells_of_several_sizes(spark, zones, boundary, crowd):
+    points = sample_points()
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    index = index_zones(zones, 8.0, boundary, crowd)
+    levels = {r["level"] for r in index.select("level").distinct().collect()}
+    assert (len(levels) > 2) == (crowd < 1000)
+    want = Counter((i, z) for i, x, y in points for z, parts in SHAPES.items() if inside(parts, x, y, boundary == "include"))
+    for small in (True, False):
+        found = join_zones(df, index, "x", "y", "z", 8.0, boundary, small=small, cell_rows=50)
+        assert Counter((r.id, r.z) for r in found.collect()) == want
+    lost = join_zones(df, index, "x", "y", "z", 8.0, boundary, "left_anti", small=True)
+    assert {r.id for r in lost.collect()} == {i for i, _, _ in points} - {i for i, _ in want}
+    outer = join_zones(df, index, "x", "y", "z", 8.0, boundary, "left", small=True)
+    assert {r.id for r in outer.where("z IS NULL").collect()} == {r.id for r in lost.collect()}
+
+
+def test_a_map_of_many_uneven_zones_fits(spark):
+    """A hundred thousand zones: small ones in one corner, large ones around them."""
+    from farescope.operators.spatial import index_fits
+
+    def squares(first, n, side, x, y):
+        k = F.col("id")
+        x0, y0 = x + (k % n) * side, y + F.floor(k / n) * side
+        ring = [(x0, y0), (x0 + side, y0), (x0 + side, y0 + side), (x0, y0 + side), (x0, y0)]
+        edges = F.array(*[F.struct(a[0].cast("double").alias("x1"), a[1].cast("double").alias("y1"), b[0].cast("double").alias("x2"), b[1].cast("double").alias("y2")) for a, b in zip(ring, ring[1:])])
+        return spark.range(n * n).select((k + first).cast("int").alias("zone_id"), edges.alias("edges"))
+
+    small, large = squares(0, 300, 1 / 64, F.lit(0.0), F.lit(0.0)), squares(90_000, 100, 4.0, F.lit(8.0), F.lit(8.0))
+    path = spark.conf.get("spark.checkpoint.dir") + "/many"
+    index_zones(small.unionByName(large), 8.0, crowd=64).write.mode("overwrite").parquet(path)
+    index = spark.read.parquet(path)
+    assert index_fits(index)
+    points = spark.range(20_000).selectExpr(
+        "id", "if(id % 2 = 0, (id * 7919 % 46800) / 10000D + 0.00003D, (id * 7919 % 399000) / 1000D + 8.0007D) AS x",
+        "if(id % 2 = 0, (id * 104729 % 46800) / 10000D + 0.00003D, (id * 104729 % 399000) / 1000D + 8.0007D) AS y",
+    )
+    want = "if(x < 8, cast(floor(x * 64) + 300 * floor(y * 64) AS int), 90000 + cast(floor((x - 8) / 4) + 100 * floor((y - 8) / 4) AS int))"
+    found = join_zones(points, index, "x", "y", "z", 8.0)
+    assert found.count() == 20_000 and found.where(f"z <> {want}").count() == 0
+
+
 def test_zone_or_default(spark, zones):
     points = [(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 3.5, 3.0), (4, 4.0, 1.0), (5, 99.0, 99.0)]
     df = spark.createDataFrame(points, "id long, x double, y double")
