@@ -84,7 +84,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.try_to_number(F.nullif(F.regexp_extract(url_filter.path_of(F.col("url")), r"/([0-9]{1,18})(?:/|\.html)?$", 1), F.lit("")), F.lit("9" * 18))
     named = pages.select(url_filter.host_of(F.col("url")).alias("host"), number.cast("bigint").alias("doc_id"))
     outcomes = named.join(labels.where("quality is not null"), "doc_id").select("host", (1 - F.col("quality")).alias("bad"))
-    return url_filter.judge(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, outcomes, RULES, url_filter.SUFFIXES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +193,8 @@ _WEIGHT = """
   )
 """
 
+_TWO = "|".join(s.replace(".", r"\.") for s in url_filter.SUFFIXES)
+
 SQL_OP3 = rf"""
 WITH url AS (
   SELECT page_id,
@@ -204,8 +206,11 @@ WITH url AS (
   JOIN labels ON doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:/|\.html)?$', 1) AS BIGINT)
   WHERE quality IS NOT NULL
 ), hosts AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, regexp_extract(host, '([^.]*\.)?[^.]*$', 0) AS domain,
-    regexp_extract(host, '[^.]*$', 0) AS suffix
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+    CASE WHEN regexp_matches(host, '(^|\.)({_TWO})$') THEN regexp_extract(host, '([^.]+\.)?({_TWO})$', 0)
+      ELSE regexp_extract(host, '([^.]*\.)?[^.]*$', 0) END AS domain,
+    CASE WHEN regexp_matches(host, '(^|\.)({_TWO})$') THEN regexp_extract(host, '({_TWO})$', 0)
+      ELSE regexp_extract(host, '[^.]*$', 0) END AS suffix
   FROM (SELECT host, bad FROM outcome UNION ALL SELECT host, NULL FROM url) GROUP BY host
 ), domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 tops AS (SELECT suffix, (sum(bad) + 1) / (sum(n) + 2) AS prior FROM domains GROUP BY suffix),

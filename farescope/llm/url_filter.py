@@ -18,7 +18,12 @@ DEVIATIONS = 1.64
 # Bounds of the weight, in pages, that a level's prior has.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 200.0
 
-AFTER = r"(?s)^.*?://"
+# Public suffixes of two labels that registries sell names under. Others are the last label.
+SUFFIXES = tuple(
+    "ac.jp ac.uk co.id co.il co.in co.jp co.kr co.nz co.uk co.za com.ar com.au com.br com.cn com.hk com.mx com.my com.pl com.sg "
+    "com.tr com.tw com.ua edu.au gov.au gov.uk me.uk ne.jp net.au net.cn net.uk or.jp or.kr org.au org.br org.cn org.il org.in "
+    "org.nz org.uk".split()
+)
 
 
 def host_of(url: Column) -> Column:
