@@ -67,7 +67,8 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
     One aggregate row comes back to the driver: the bytes of all values, nested ones included.
     """
-    width = _total([_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    names = [f.name.replace("`", "``") for f in df.schema.fields]
+    width = _total([_bytes(F.col(f"`{n}`"), f.dataType) for n, f in zip(names, df.schema.fields, strict=True)])
     width = F.lit(width) if isinstance(width, int) else width
     found = df.agg(F.coalesce(F.sum((width + _ROW_BYTES).cast("bigint")), F.lit(0))).first()[0]
     return found <= max_bytes
