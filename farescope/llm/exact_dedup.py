@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farescope.session import broadcast_if_small
+from farescope.session import broadcast_if_small, fits_broadcast
 
 from .common import stored
 
@@ -141,7 +141,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
     best = F.min(F.struct(-F.col("chars"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
     keys = ["fingerprint", "text_sha256"]
-    kept = digests.join(texts.select(*keys), keys).groupBy(*keys).agg(best)
+    # Each task combines its copies of a text before any row of a group moves.
+    again = digests.join(F.broadcast(repeated), "fingerprint", "left_semi") if fits_broadcast(repeated) else digests
+    kept = again.groupBy(*keys).agg(best)
     groups = texts.join(kept, keys).select(*keys, "group_size", F.col("best.doc_id").alias("keep"), F.col("best.row").alias("keep_row"))
     return digests.join(groups, keys, "left").select(
         "doc_id",
