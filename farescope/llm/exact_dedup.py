@@ -145,6 +145,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     again = digests.join(F.broadcast(repeated), "fingerprint", "left_semi") if fits_broadcast(repeated) else digests
     kept = again.groupBy(*keys).agg(best)
     groups = texts.join(kept, keys).select(*keys, "group_size", F.col("best.doc_id").alias("keep"), F.col("best.row").alias("keep_row"))
+    groups = broadcast_if_small(stored(groups))  # a row for each text that repeats
     return digests.join(groups, keys, "left").select(
         "doc_id",
         F.when(F.col("keep_row").isNull(), F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"),
