@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from .common import WordHasher, free_name, plain_words, stored, text_blocks
 
 WINDOW = 13
-# Characters of benchmark text that are sent to all executors at once.
-BENCHMARK_CHARS = 32 << 20
+# Characters of benchmark text that are sent to all executors at once: some 20 bytes each there.
+BENCHMARK_CHARS = 4 << 20
 
 MATCH = "struct<item_id:string,doc_start:bigint,item_start:bigint,n_words:bigint>"
 RESULT = {
@@ -193,7 +193,7 @@ def contamination(
     the new ones are replaced. An empty table gives no rows, an empty benchmark no matches.
 
     A benchmark of more than ``benchmark_chars`` characters is searched for in several passes,
-    each over all documents with a part of the items.
+    each over all documents with a part of the items; an item is never cut.
     """
     spark = docs.sparkSession
     columns = [c for c in (docs.columns if columns is None else columns) if c not in RESULT]
@@ -214,9 +214,12 @@ def contamination(
     numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()))
     found = None
     for part in range(parts):
+        sent = suffixes(part)
         one = numbered.select(number, "text").mapInArrow(
-            _search([number], suffixes(part), False), _schema(numbered, [number], ["n_words", "matches"])
+            _search([number], sent, False), _schema(numbered, [number], ["n_words", "matches"])
         )
+        one = stored(one if part == 0 else one.where(F.size("matches") > 0))
+        sent.destroy()  # one part at a time
         found = one if found is None else found.unionByName(one)
     merged = found.groupBy(number).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
     merged = numbered.select(number, *columns).join(merged, number).drop(number)
