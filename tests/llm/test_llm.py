@@ -132,13 +132,32 @@ def test_chat_odd_rows(spark):
 
 def test_filters_merge_without_loss():
     rng = np.random.default_rng(1)
-    prints = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
-    drawn = rng.choice(prints, 4000)
-    parts = [np.unique(x, return_counts=True) for x in np.array_split(drawn, 7)]
-    rows = [dict(zip(("block", "quotients", "runs", "remainders", "counts"), exact_dedup._encode(0, *p), strict=True)) for p in parts]
-    got = exact_dedup.merged([exact_dedup._decode(r) for r in rows])
-    want = np.unique(drawn, return_counts=True)
-    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    bits = 60
+    for n, crowded in ((500, 1), (3000, 1 << 38), (0, 1)):  # the second with long runs
+        prints = rng.integers(0, (1 << bits) // crowded, n, dtype=np.uint64)
+        drawn = rng.choice(prints, 4000) if n else prints
+        parts = [np.unique(x, return_counts=True) for x in np.array_split(drawn, 7)]
+        filters = [exact_dedup.QuotientFilter.of(p, c, bits) for p, c in parts]
+        filters = [exact_dedup.QuotientFilter.unpacked(dict(zip(("places", "lengths", "remainders", "counts"), f.packed(), strict=True))) for f in filters]
+        whole = exact_dedup.QuotientFilter.merged(filters)
+        again = exact_dedup.QuotientFilter.merged([exact_dedup.QuotientFilter.merged(filters[:3]), *filters[3:]])
+        want = np.unique(drawn, return_counts=True)
+        for f in (whole, again):
+            got = f.entries(bits)
+            assert (got[0] == want[0]).all() and (got[1] == want[1]).all() and len(got[0]) == len(want[0])
+            assert f.lengths.sum() == len(want[0]) and f.remainders.max(initial=0) < 1 << bits - exact_dedup.PLACE_BITS
+
+
+def test_a_filter_counts_all(spark):
+    rng = random.Random(6)
+    prints = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(300)] + [0, -1]
+    rows = [rng.choice(prints) for _ in range(2000)]
+    df = spark.createDataFrame([(p,) for p in rows], "fingerprint bigint").repartition(5)
+    got = dict(map(tuple, exact_dedup.filter_counts(exact_dedup.counting_filter(df)).collect()))
+    assert got == {p: rows.count(p) for p in set(rows)}
+    more = dict(map(tuple, exact_dedup.filter_counts(exact_dedup.counting_filter(df), 9).collect()))
+    assert more == {p: n for p, n in got.items() if n >= 9}
+    assert exact_dedup.counting_filter(df.where("false")).count() == 0
 
 
 def test_exact_duplicates_odd(spark, odd, none):
@@ -168,6 +187,17 @@ def test_urls_odd(spark):
     assert url_filter.judge(pages.where("false"), outcomes, []).count() == 0
 
 
+def test_names_under_a_suffix_of_two_labels_are_apart(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "c.org.uk", "x.notco.uk", "www.example.com", "com", ""]
+    rows = spark.createDataFrame([(h, None) for h in hosts], "host string, bad int")
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.reputations(rows, url_filter.SUFFIXES).collect()}
+    assert got == {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+        "c.org.uk": ("c.org.uk", "org.uk"), "x.notco.uk": ("notco.uk", "uk"), "www.example.com": ("example.com", "com"),
+        "com": ("com", "com"), "": ("", ""),
+    }
+
+
 def test_reputation_shrinks(spark):
     rows = [("a.x.com", b) for b in [1] * 30 + [0] * 2] + [("b.x.com", 1)] + [("c.y.com", 0)] * 50 + [("d.y.com", 1)]
     got = {r["host"]: r for r in url_filter.reputations(spark.createDataFrame(rows, "host string, bad int")).collect()}
