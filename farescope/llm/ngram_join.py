@@ -22,7 +22,6 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farescope.session import broadcast_if_small
@@ -111,7 +110,7 @@ def set_id(tokens: np.ndarray) -> bytes:
 
 
 def _token_counts(words: int, bucket_bits: int):
-    """Packed upper token halves of each batch by bucket; equal sets of a task count once."""
+    """Packed upper token halves and their counts, of each batch by bucket; equal sets of a task count once."""
 
     def run(batches):
         shingler, seen = Shingler(words), set()
@@ -125,29 +124,37 @@ def _token_counts(words: int, bucket_bits: int):
             if not parts:
                 continue
             all_ = np.sort(np.concatenate(parts))
-            cut = np.searchsorted(all_, np.arange(1 << bucket_bits, dtype=np.uint64) << np.uint64(32 - bucket_bits))
-            buckets, packed = [], []
-            for b, (i, j) in enumerate(zip(cut, [*cut[1:], len(all_)], strict=True)):
-                if j > i:
-                    part = all_[i:j]
-                    delta = np.diff(part, prepend=part[:1])  # small numbers: byte planes compress
-                    buckets.append(b)
-                    packed.append(part[:1].tobytes() + delta.view(np.uint8).reshape(-1, 4).T.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(packed, pa.binary())], ["bucket", "packed"])
+            heads = np.flatnonzero(np.append(True, all_[1:] != all_[:-1]))
+            token, n = all_[heads], np.diff(np.append(heads, len(all_))).astype(np.uint32)
+            bucket = token >> np.uint32(32 - bucket_bits) if bucket_bits else np.zeros(len(token), np.uint32)
+            cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(token))
+            packed = []
+            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                # small numbers: byte planes compress
+                delta = np.diff(token[i:j], prepend=token[i : i + 1])
+                planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (delta, n[i:j] - np.uint32(1))]
+                packed.append(token[i : i + 1].tobytes() + b"".join(planes))
+            buckets = pa.array(bucket[cut[:-1]].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([buckets, pa.array(packed, pa.binary())], ["bucket", "packed"])
 
     return run
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(packed, np.uint8, offset=4).reshape(4, -1)
-    delta = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
-    return np.cumsum(delta, dtype=np.uint32) + np.frombuffer(packed[:4], np.uint32)[0]
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, their counts) of one batch."""
+    planes = np.frombuffer(packed, np.uint8, offset=4).reshape(2, 4, -1)
+    delta, more = (np.ascontiguousarray(x.T).view(np.uint32).ravel() for x in planes)
+    return np.cumsum(delta, dtype=np.uint32) + np.frombuffer(packed[:4], np.uint32)[0], more.astype(np.int64) + 1
 
 
 def _frequent(table: pa.Table) -> pa.Table:
     """Tokens of a bucket that occur in two sets or more, with their counts."""
-    all_ = np.concatenate([_unpack(x.as_py()) for x in table.column("packed")])
-    token, n = np.unique(all_, return_counts=True)
+    parts = [_unpack(x.as_py()) for x in table.column("packed")]
+    token, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(token, kind="stable")
+    token = token[order]
+    heads = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    token, n = token[heads], np.add.reduceat(n[order], heads)
     token, n = token[n > 1], n[n > 1]
     return pa.table(
         {
@@ -480,11 +487,14 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     found = rows.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
     found = found.select("doc_id", "n_shingles", F.coalesce("component", "set_id").alias("component"))
     found = stored(found)
-    lowest = found.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    # A row that is alone names itself; the others meet the stored names of their components.
+    linked = found.where("n_shingles > 0").groupBy("component")
+    lowest = linked.agg(F.min("doc_id").alias("lowest"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    lowest = broadcast_if_small(stored(lowest.drop("rows")))
     return found.join(lowest, "component", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n_shingles") > 0, F.coalesce("lowest", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
