@@ -159,6 +159,28 @@ def window_counts(
     )
 
 
+def range_counts(ranges: DataFrame, registry: DataFrame, window: int = WINDOW_IDS) -> DataFrame:
+    """``window_counts`` of trips whose ids are known as ranges: (sourceid, first_id, last_id), both included.
+
+    No trip is read: a range adds its overlap to each window that it meets.
+    """
+    last = ranges.agg(F.max("last_id")).scalar()
+    unchecked = registry.filter(F.col("islocked") == schemas.UNCHECKED).select(F.col("id").alias("sourceid"))
+    top = F.floor((last - F.col("last_id")) / F.lit(window))
+    end = F.floor((last - F.col("first_id")) / F.lit(window))
+    # One window more at the upper end: a border counts in both of its windows.
+    buckets = F.sequence(F.greatest(top - 1, F.lit(0)), end)
+    overlap = F.least(last - F.col("bucket") * window, "last_id") - F.greatest(last - (F.col("bucket") + 1) * window, "first_id") + 1
+    return (
+        ranges.join(unchecked, "sourceid", "left_semi")
+        .select("sourceid", "first_id", "last_id", F.explode(buckets).alias("bucket"))
+        .withColumn("n", overlap)
+        .filter("n > 0")
+        .groupBy("bucket", "sourceid")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def top_sources(counts: DataFrame) -> DataFrame:
     """The largest source of each window, the lowest id on ties."""
     ranked = Window.partitionBy("bucket").orderBy(F.desc("n"), "sourceid")
@@ -235,8 +257,12 @@ def sequential_completeness(
     """The registry after the quick pass as it is run one window after another.
 
     A source that is marked leaves the later windows, so that runners-up can win those.
+    ``trips`` has a row for each trip (``id_col``, sourceid), or one for each range of ids
+    (sourceid, first_id, last_id).
     """
-    marks = sequential_marks(window_counts(trips, registry, window, id_col), minimum)
+    ranges = "first_id" in trips.columns
+    counts = range_counts(trips, registry, window) if ranges else window_counts(trips, registry, window, id_col)
+    marks = sequential_marks(counts, minimum)
     good = marks.select(F.col("sourceid").alias("id"), F.lit(True).alias("_good"))
     state = F.when(F.col("_good"), F.lit(schemas.GOOD)).otherwise(F.col("islocked"))
     return registry.join(good, "id", "left").withColumn("islocked", state).select(*registry.columns)

@@ -147,8 +147,9 @@ def check_files(
 ) -> None:
     """Settle the state of every unchecked file from the rows it has in the zone table.
 
-    First the quick pass over windows of row ids (not with ``quick_minimum`` None), then an
-    exact count of the files that are still open; only their partitions are read for it.
+    First the quick pass over windows of row ids (not with ``quick_minimum`` None), for which the
+    manifest tells enough; then an exact count of the files that are still open, of which only
+    their partitions are read.
     """
     registry = tables.read_registry(spark, base)
     unchecked = registry.where(F.col("islocked") == schemas.UNCHECKED).select("id")
@@ -156,8 +157,7 @@ def check_files(
         return
     if quick_minimum is not None:
         quick_minimum = max(quick_minimum, minimum - 1)  # the quick pass must not pass what the exact one wouldn't
-        trips = tables.read_trips(spark, base, ids=True)
-        registry = sequential_completeness(trips, registry, window, quick_minimum)
+        registry = sequential_completeness(tables.id_ranges(spark, base), registry, window, quick_minimum)
         tables.write_registry(registry, base)
         registry = tables.read_registry(spark, base)
     open_ = [r.id for r in registry.where(F.col("islocked") == schemas.UNCHECKED).select("id").collect()]

@@ -258,18 +258,18 @@ def quick_sequential(spark, sf):
 
 
 def _numbered_trips(spark, sf):
-    """A trip table loaded in three steps, the last of which replaces some sources."""
+    """The folder of a trip table loaded in three steps, the last of which replaces some sources."""
     base = shared_dir(spark)
     trips = B.trips(spark, sf).withColumn("sourceid", F.col("PULocationID").cast("long"))
     for part in ("sourceid > 12", "sourceid <= 12", "sourceid <= 5"):
         tables.append_trips(trips.where(part), base, rebalance=True)
-    return tables.read_trips(spark, base, ids=True)
+    return base
 
 
 def trip_row_ids(spark, sf):
     """The ids of stored trips: dense within each source, and never given out twice."""
     return (
-        _numbered_trips(spark, sf)
+        tables.read_trips(spark, _numbered_trips(spark, sf), ids=True)
         .groupBy("sourceid")
         .agg(
             F.min("id").alias("first_id"),
@@ -282,9 +282,9 @@ def trip_row_ids(spark, sf):
 
 def quick_completeness_trips(spark, sf):
     """The sequential quick pass over the library's own trip table."""
-    trips = _numbered_trips(spark, sf)
-    registry = B.registry_of(trips.select("sourceid"))
-    done = files.sequential_completeness(trips, registry, TRIP_WINDOW, TRIP_QUICK_MINIMUM)
+    base = _numbered_trips(spark, sf)
+    registry = B.registry_of(tables.read_trips(spark, base).select("sourceid"))
+    done = files.sequential_completeness(tables.read_trips(spark, base, ids=True), registry, TRIP_WINDOW, TRIP_QUICK_MINIMUM)
     return done.select("id", "filename", "islocked")
 
 

@@ -158,6 +158,12 @@ def read_trips(
     return placed.join(broadcast_if_small(first), same).select(*names, (F.col("_first") + F.col("_row")).alias("id"))
 
 
+def id_ranges(spark: SparkSession, base: str, name: str = ZONE_TABLE) -> DataFrame:
+    """(sourceid, first_id, last_id): the ids of a trip table, a range for each stored file."""
+    entries = read_manifest(spark, base).where((F.col("table") == name) & F.col("file").isNotNull())
+    return entries.select("sourceid", (F.col("last_id") - F.col("n_rows") + 1).alias("first_id"), "last_id")
+
+
 def drop_sources(spark: SparkSession, base: str, ids: Iterable[int], names: Iterable[str] = TRIP_TABLES) -> None:
     """Take some sources out of trip tables; other sources stay as they are."""
     gone = F.col("sourceid").isin([int(i) for i in ids]) & F.col("table").isin(list(names))

@@ -174,6 +174,22 @@ def test_ids_are_dense_and_never_given_out_twice(spark, tmp_path):
     assert "Sort" not in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_ranges_of_ids_count_like_the_ids(spark, tmp_path):
+    from farescope.operators.files import range_counts, window_counts
+
+    base, cal = str(tmp_path / "base"), calendar(spark)
+    for name, n in (("a.csv", 30), ("b.csv", 21), ("c.csv", 55), ("a.csv", 44), ("d.csv", 1)):
+        refresh.load_files(spark, [put(tmp_path, name, "yellow_new", n)], base, cal)
+    reg = registry(spark, [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 1)])
+    trips, ranges = tables.read_trips(spark, base, ids=True), tables.id_ranges(spark, base)
+    for window in (1, 5, 10, 44, 1000):
+        got = sorted(map(tuple, range_counts(ranges, reg, window).select("bucket", "sourceid", "n").collect()))
+        assert got == sorted(map(tuple, window_counts(trips, reg, window).select("bucket", "sourceid", "n").collect())) and got
+    assert range_counts(ranges.where("false"), reg).count() == 0
+    one = sequential_completeness(ranges, reg, 10, 8)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, sequential_completeness(trips, reg, 10, 8).collect()))
+
+
 # Quick pass
 
 
