@@ -1,4 +1,9 @@
-"""From raw documents to token ids: five stages, each written and read again as the next one's input."""
+"""From raw documents to token ids: five stages, each written and read again as the next one's input.
+
+All stages but the last return whole rows of their input, with its columns, whatever these are
+called. Null texts count as empty; rows with a null doc_id, and rows that share one, are rows of
+their own. An empty table goes through all stages.
+"""
 
 from __future__ import annotations
 
@@ -12,28 +17,28 @@ from farescope.session import shared_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model accepts."""
+    """Documents that the quality model accepts; empty texts are scored like any other."""
     model = quality.fit(docs, quality_labels(table(spark, sf_dir, "labels")))
     return quality.accepted(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates; all documents without words."""
     return ngram_join.representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark text to speak of."""
+    """Documents that hold no benchmark text to speak of; all of them if the benchmark is empty."""
     return decontam.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target asks for."""
+    """Documents as often as their source's target asks for; a null source is one of its own."""
     return mixing.mixed_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in files, and what the files hold for each document."""
+    """Token ids in files, and what the files hold for each document, null doc_id first."""
     path = shared_dir(spark)
     token_output.write_tokens(docs, path, public_tokenizers.path(TOKENIZER))
     return token_output.read_tokens(spark, path)
