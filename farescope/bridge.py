@@ -15,12 +15,14 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import file_name
 from farescope.operators.holidays import flag_holidays, holiday_calendar
 from farescope.operators.spatial import point_index, zone_cells
-from farescope.session import evaluate_once, shared_dir
+from farescope.session import evaluate_once, open_writers, shared_dir
 from farescope.sources.geometry import load_geometry
 
 AS_OF_YEAR = 2021
 CELL = 0.25
 FIRST_CALENDAR_YEAR, LAST_CALENDAR_YEAR = 2014, 2022
+# Text files that a task writes side by side.
+OPEN_FILES = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,7 +108,8 @@ def write_monthly_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
         name = F.concat(F.lit(f"{provider}_tripdata_"), F.year(start).cast("string"), month, F.lit(".csv"))
         parts = f"{folder}-{provider}"
         named = text.withColumn("file", name).repartition("file")
-        named.write.option("header", True).partitionBy("file").csv(parts)
+        with open_writers(spark, OPEN_FILES):  # a task has all rows of a file
+            named.write.option("header", True).partitionBy("file").csv(parts)
         path = spark._jvm.org.apache.hadoop.fs.Path
         store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
         store.mkdirs(path(folder))
