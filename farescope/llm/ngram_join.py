@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from farescope.session import broadcast_if_small
 
-from .common import WordHasher, free_name, mix, space_words, stored, text_blocks
+from .common import SMALL_BLOCK_BYTES, WordHasher, free_name, mix, space_words, stored, text_blocks
 from .components import components
 
 WORDS = 5
@@ -37,6 +37,8 @@ CELL_BITS = 24
 COMMON_BITS = 27
 COMMON_TOKENS = 1 << 25
 VERY_COMMON = 16
+# Tokens that a task counts at once.
+COUNTED_TOKENS = 1 << 21
 # Bits of the table of sets that are fetched for comparison.
 SET_BITS = 27
 # Longest list that is paired in full at once.
@@ -58,7 +60,7 @@ class Shingler:
     def sets(self, texts):
         """One sorted uint64 array for each text."""
         k = self.k
-        for _, data, offsets in text_blocks(texts):
+        for _, data, offsets in text_blocks(texts, SMALL_BLOCK_BYTES):
             starts, ends, first = self.hasher.words(data, offsets)
             w = self.hasher.hashes(data, starts, ends)
             grams = np.zeros(max(0, len(w) - k + 1), np.uint64)
@@ -109,33 +111,44 @@ def set_id(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _token_counts(words: int, bucket_bits: int):
-    """Packed upper token halves and their counts, of each batch by bucket; equal sets of a task count once."""
+def _packed_counts(parts: list[np.ndarray], bucket_bits: int) -> pa.RecordBatch:
+    """The counts of upper token halves, packed by bucket."""
+    all_ = np.sort(np.concatenate(parts))
+    heads = np.flatnonzero(np.append(True, all_[1:] != all_[:-1]))
+    token, n = all_[heads], np.diff(np.append(heads, len(all_))).astype(np.uint32)
+    bucket = token >> np.uint32(32 - bucket_bits) if bucket_bits else np.zeros(len(token), np.uint32)
+    cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(token))
+    packed = []
+    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        # small numbers: byte planes compress
+        delta = np.diff(token[i:j], prepend=token[i : i + 1])
+        planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (delta, n[i:j] - np.uint32(1))]
+        packed.append(token[i : i + 1].tobytes() + b"".join(planes))
+    buckets = pa.array(bucket[cut[:-1]].astype(np.int32))
+    return pa.RecordBatch.from_arrays([buckets, pa.array(packed, pa.binary())], ["bucket", "packed"])
+
+
+def _token_counts(words: int, bucket_bits: int, at_once: int = COUNTED_TOKENS):
+    """Packed upper token halves and their counts by bucket, of ``at_once`` tokens and a document's at most.
+
+    Batches may have any number of rows. Equal sets of a task count once.
+    """
 
     def run(batches):
         shingler, seen = Shingler(words), set()
+        parts, held = [], 0
         for batch in batches:
-            parts = []
             for tokens in shingler.sets(batch.column(0)):
                 key = set_id(tokens)
                 if len(tokens) and key not in seen:
                     seen.add(key)
                     parts.append((tokens >> np.uint64(32)).astype(np.uint32))
-            if not parts:
-                continue
-            all_ = np.sort(np.concatenate(parts))
-            heads = np.flatnonzero(np.append(True, all_[1:] != all_[:-1]))
-            token, n = all_[heads], np.diff(np.append(heads, len(all_))).astype(np.uint32)
-            bucket = token >> np.uint32(32 - bucket_bits) if bucket_bits else np.zeros(len(token), np.uint32)
-            cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(token))
-            packed = []
-            for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                # small numbers: byte planes compress
-                delta = np.diff(token[i:j], prepend=token[i : i + 1])
-                planes = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in (delta, n[i:j] - np.uint32(1))]
-                packed.append(token[i : i + 1].tobytes() + b"".join(planes))
-            buckets = pa.array(bucket[cut[:-1]].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([buckets, pa.array(packed, pa.binary())], ["bucket", "packed"])
+                    held += len(tokens)
+                    if held >= at_once:
+                        yield _packed_counts(parts, bucket_bits)
+                        parts, held = [], 0
+        if parts:
+            yield _packed_counts(parts, bucket_bits)
 
     return run
 

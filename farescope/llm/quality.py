@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import runs, space_words, stored, text_blocks
+from .common import SMALL_BLOCK_BYTES, runs, space_words, stored, text_blocks
 
 FOURIER = 256
 GAMMA_SCALE = 4.0
@@ -61,7 +61,7 @@ def statistics(texts) -> np.ndarray:
     """FEATURES of each text, a row each; a text without words has zeros."""
     out = []
     is_word = space_words()
-    for _, data, offsets in text_blocks(texts):
+    for _, data, offsets in text_blocks(texts, SMALL_BLOCK_BYTES):
         starts, ends = runs(is_word[data], offsets)
         first = np.searchsorted(starts, offsets)
         length = ends - starts
