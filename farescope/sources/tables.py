@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from farescope import schemas
-from farescope.session import broadcast_if_small
+from farescope.session import broadcast_if_small, open_writers
 
 ZONE_TABLE = "tripdata"
 GEO_TABLE = "tripdata_geo"
@@ -30,6 +30,8 @@ ODD_ZONE_TABLE = "tripdata_odddate"
 ODD_GEO_TABLE = "tripdata_geo_odddate"
 TRIP_TABLES = (ZONE_TABLE, GEO_TABLE, UNMATCHED_TABLE, ODD_ZONE_TABLE, ODD_GEO_TABLE)
 KEPT_VERSIONS = 3
+# Files that a task writes side by side; what they buffer is bounded by the rows of the task.
+OPEN_FILES = 8
 CURVE_KEYS = ("zone_id", "traffic", "covid", "month")
 
 
@@ -46,7 +48,8 @@ def write_trips(df: DataFrame, base: str, rebalance: bool = False) -> str:
     """Write rows of one or several trip tables, named in column ``table``, as a new generation.
 
     Returns the generation, which no reader sees before ``publish``. Columns that a row's table
-    doesn't have are NULL. Tasks that read one file write one partition: no shuffle.
+    doesn't have are NULL. Tasks that read one file write one partition: no shuffle, and no sort
+    unless a task has rows for more than OPEN_FILES partitions.
     ``rebalance`` is for rows that come out of a shuffle and would leave a file per task and
     source; AQE then sizes the files and splits large sources.
     """
@@ -59,7 +62,8 @@ def write_trips(df: DataFrame, base: str, rebalance: bool = False) -> str:
     df = df.select("table", *columns, F.lit(gen).alias("gen"))
     if rebalance:
         df = df.hint("rebalance", "table", "sourceid")
-    df.write.mode("append").partitionBy("table", "sourceid", "gen").parquet(table_path(base, "trips"))
+    with open_writers(df.sparkSession, OPEN_FILES):
+        df.write.mode("append").partitionBy("table", "sourceid", "gen").parquet(table_path(base, "trips"))
     return gen
 
 

@@ -67,14 +67,20 @@ def _folder(path: str) -> str:
 
 
 def _located(spark: SparkSession, reader: DataFrameReader, addresses: dict[str, str]) -> DataFrame:
-    """Rows of some CSV files, with ``_file``, the file's address.
+    """Rows of some CSV files, with ``_file``, the file's address as a reader spells it.
 
     The files' folders are listed, one call each, and other files in them are pruned by their
     address before anything is read; asking for each file by itself would take a job of its own.
     """
     found = reader.option("recursiveFileLookup", True).csv(sorted({_folder(p) for p in addresses}))
-    address = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
-    return found.where(address.isin(sorted(addresses.values()))).withColumn("_file", address)
+    wanted = sorted({s for a in addresses.values() for s in _spellings(a)})
+    return found.where(F.col("_metadata.file_path").isin(wanted)).withColumn("_file", F.col("_metadata.file_path"))
+
+
+def _spellings(address: str) -> list[str]:
+    """How readers may spell an address: a local one has one to three slashes."""
+    rest = address.removeprefix("file:/")
+    return [f"file:{'/' * n}{rest}" for n in (1, 2, 3)] if rest != address else [address]
 
 
 def file_headers(spark: SparkSession, paths: Iterable[str]) -> dict[str, str]:
@@ -124,14 +130,13 @@ def _one_scan(spark: SparkSession, files: dict[str, dict[str, int]], geo: bool,
     width = 1 + max(i for d in dialects for _, i in d)
     schema = ", ".join(f"_c{i} string" for i in range(width))
     raw = _located(spark, _reader(spark, multiline).schema(schema), addresses)
-    raw = raw.select(*[f"_c{i}" for i in range(width)], "_file", _file_name("_metadata.file_name").alias("filename"))
-    if len(dialects) == 1:
-        dialect = F.lit(0)
-    else:
-        known = [(addresses[path], dialects.index(at)) for path, at in places.items()]
-        known = spark.createDataFrame(known, "_file string, _dialect int")
-        raw = raw.join(broadcast_if_small(known), "_file")
-        dialect = F.col("_dialect")
+    raw = raw.select(*[f"_c{i}" for i in range(width)], "_file")
+    # What holds for a whole file is worked out once for each, and not for each row.
+    known = {s: (a.rsplit("/", 1)[-1], dialects.index(places[p])) for p, a in addresses.items() for s in _spellings(a)}
+    known = spark.createDataFrame([(s, *x) for s, x in known.items()], "_file string, _name string, _dialect int")
+    known = known.select("_file", _file_name("_name").alias("filename"), "_dialect")
+    raw = raw.join(broadcast_if_small(known), "_file")
+    dialect = F.col("_dialect")
 
     def column(name: str) -> Column:
         found: dict[int, list[int]] = defaultdict(list)
