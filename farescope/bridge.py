@@ -15,7 +15,7 @@ from farescope.operators.clean import clean_trips
 from farescope.operators.files import file_name
 from farescope.operators.holidays import flag_holidays, holiday_calendar
 from farescope.operators.spatial import point_index, zone_cells
-from farescope.session import evaluate_once, open_writers, shared_dir
+from farescope.session import evaluate_once, open_writers, shared_dir, shuffles_removed
 from farescope.sources.geometry import load_geometry
 
 AS_OF_YEAR = 2021
@@ -34,16 +34,26 @@ def _place(value: Column) -> Column:
     return (value % 5200).cast("double") / F.lit(1000.0) + F.lit(0.0005)
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
-    """Raw trips in the canonical columns, one per line item."""
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
+def _pickup() -> Column:
+    """When the trip of a line item starts."""
+    order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     second = F.expr("interval '1' second")
-    start = (
+    return (
         F.col("l_shipdate")
         + F.expr("interval 20 years")
         + second * ((order * 7919 + line * 104729 + part * 613) % 86400)
     )
+
+
+def raw_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
+    """Raw trips in the canonical columns, one per line item."""
+    return _trips_of(table(spark, sf_dir, "lineitem"), geo)
+
+
+def _trips_of(items: DataFrame, geo: bool) -> DataFrame:
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    part, supp = F.col("l_partkey"), F.col("l_suppkey")
+    second, start = F.expr("interval '1' second"), _pickup()
     length = second * (F.lit(300) + (part * 31 + supp * 17 + order * 13) % 4200)
     tip = (F.floor(F.col("l_discount") * 100 + 0.5).cast("int") * F.lit(0.25)) - F.when(
         (F.col("l_returnflag") == "A") & (line == 7), F.lit(1.0)
@@ -70,7 +80,6 @@ def raw_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
         "total_amount": distance * (F.lit(2) + part % 7) + F.lit(1.5),
         **ends,
     }
-    items = table(spark, sf_dir, "lineitem")
     return evaluate_once(items, *[c.alias(n) for n, c in columns.items()])
 
 
@@ -93,8 +102,11 @@ TEXT_HEADERS = {
 
 def text_trips(spark: SparkSession, sf_dir: str, geo: bool = False) -> DataFrame:
     """The raw trips as a CSV reader delivers them: all text, headers of an old dialect."""
-    raw = raw_trips(spark, sf_dir, geo)
-    return raw.select(*[F.col(c).cast("string").alias(TEXT_HEADERS[c]) for c in raw.columns])
+    return _as_text(raw_trips(spark, sf_dir, geo))
+
+
+def _as_text(raw: DataFrame, *others: Column) -> DataFrame:
+    return raw.select(*[F.col(c).cast("string").alias(TEXT_HEADERS[c]) for c in raw.columns], *others)
 
 
 def write_monthly_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
@@ -102,13 +114,15 @@ def write_monthly_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     for each January, and one for each February with the trips that start in the first minute of an hour.
     """
     for geo, provider in ((False, "yellow"), (True, "green")):
-        text = text_trips(spark, sf_dir, geo)
-        start = F.col(f"`{TEXT_HEADERS['pickup_datetime']}`").cast("timestamp_ntz")
+        # Line items are dealt to the files, not the text made of them, which takes several times as much
+        # room; by ranges, as hashes would give a task two large files and leave others none.
+        items = table(spark, sf_dir, "lineitem").repartitionByRange(F.year(_pickup()), F.minute(_pickup()) == 0)
+        start = F.col("pickup_datetime")
         month = F.when(F.minute(start) == 0, F.lit("-02")).otherwise(F.lit("-01"))
         name = F.concat(F.lit(f"{provider}_tripdata_"), F.year(start).cast("string"), month, F.lit(".csv"))
+        named = _as_text(_trips_of(items, geo), name.alias("file"))
         parts = f"{folder}-{provider}"
-        named = text.withColumn("file", name).repartition("file")
-        with open_writers(spark, OPEN_FILES):  # a task has all rows of a file
+        with open_writers(spark, OPEN_FILES), shuffles_removed(spark):  # a task has all rows of a file
             named.write.option("header", True).partitionBy("file").csv(parts)
         path = spark._jvm.org.apache.hadoop.fs.Path
         store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
